@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,9 +50,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from the copy.
+    """Write ``df`` as a table in the shared checkpoint folder and go on from the written copy.
 
-    Used where rows are read several times or an id must not change when a lost executor's work is redone.
+    Used where rows are read several times or an id must not change when a lost executor's work is redone. The
+    tables of a session lie in one folder, which is removed when the driver ends.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    base = f"{ensure_checkpoint_dir(spark)}/loomgraph-{spark.sparkContext.applicationId}"
+    if base not in _made:
+        _made.add(base)
+        atexit.register(_remove, spark, base)
+    path = f"{base}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_made: set[str] = set()
+
+
+def _remove(spark: SparkSession, base: str) -> None:
+    try:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(base)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # noqa: BLE001  the session may be gone already
+        pass
