@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgraph.llm.copies import collapsed, copies_found, keyed_records
+from loomgraph.llm.mixing import mix_report, mix_sources
 from loomgraph.llm.split import split_snippets
-from loomgraph.session import read_table
+from loomgraph.llm.tokens import count_tokens, encode_corpus
+from loomgraph.session import cut, read_table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,11 +29,32 @@ def p6_collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collapsed(read_table(spark, sf_dir, "snippets"), read_table(spark, sf_dir, "gene_mentions"))
 
 
+def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_corpus(read_table(spark, sf_dir, "documents"))
+
+
+def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    documents, targets = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "mix_targets")
+    sized = cut(count_tokens(documents).join(documents.select("doc_id", "source"), "doc_id"))
+    return mix_sources(sized, targets), targets
+
+
+def p8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mix(spark, sf_dir)[0]
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_report(*_mix(spark, sf_dir))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_pieces": p1_pieces,
     "p6_found": p6_found,
     "p6_collapsed": p6_collapsed,
+    "p7_ids": p7_ids,
+    "p8_mix": p8_mix,
+    "p8_shares": p8_shares,
 }
 
 ORACLES = {
