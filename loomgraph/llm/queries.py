@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomgraph.llm.canonical import map_values
 from loomgraph.llm.copies import collapsed, copies_found, keyed_records
 from loomgraph.llm.mixing import mix_report, mix_sources
 from loomgraph.llm.split import split_snippets
@@ -21,6 +22,19 @@ def p1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_snippets(read_table(spark, sf_dir, "snippets"))
 
 
+def _mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return map_values(*(read_table(spark, sf_dir, t) for t in ("gene_mentions", "llm_extractions", "terms")))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mapped(spark, sf_dir).where(~F.col("exact")).select("src_field", "row_id", "pos", "term_id")
+
+
+def p3_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lost = _mapped(spark, sf_dir).where(F.col("term_id") == -1)
+    return lost.groupBy("src_field", "value").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copies_found(keyed_records(read_table(spark, sf_dir, "snippets"), read_table(spark, sf_dir, "gene_mentions")))
 
@@ -50,6 +64,8 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_pieces": p1_pieces,
+    "p3_found": p3_found,
+    "p3_unmatched": p3_unmatched,
     "p6_found": p6_found,
     "p6_collapsed": p6_collapsed,
     "p7_ids": p7_ids,
