@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loomgraph.operators.nested import flatten_bodies, nested_tables
 from loomgraph.operators.references import orphan_references, orphan_report
 from loomgraph.session import read_table
 
@@ -18,7 +19,26 @@ def p2_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orphan_report(orphan_references(edges, nodes))
 
 
-QUERIES = {"p2_found": p2_found, "p2_report": p2_report}
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = flatten_bodies(read_table(spark, sf_dir, "raw_guidelines"))
+    return flat.select("file_id", "kind", "json_pointer", "parent_pointer")
+
+
+def p5_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nested_tables(read_table(spark, sf_dir, "raw_guidelines"))["sections"]
+
+
+def p5_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nested_tables(read_table(spark, sf_dir, "raw_guidelines"))["genes"]
+
+
+QUERIES = {
+    "p2_found": p2_found,
+    "p2_report": p2_report,
+    "p5_found": p5_found,
+    "p5_sections": p5_sections,
+    "p5_genes": p5_genes,
+}
 
 _P2 = """
 WITH state AS (
