@@ -231,7 +231,7 @@ def flatten_bodies(raw: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["file_id", "kind", "json_pointer", "parent_pointer", "ordinal", "fields"]
         for batch in batches:
-            rows = [(i, *row[:4], list(row[4].items())) for i, b in zip(batch["file_id"], batch["body"]) for row in flatten_body(b)]
+            rows = [(i, *row) for i, b in zip(batch["file_id"], batch["body"]) for row in flatten_body(b)]
             if rows:
                 yield pd.DataFrame(rows, columns=names)
 
