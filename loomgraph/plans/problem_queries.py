@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loomgraph.operators.nested import flatten_bodies, nested_tables
 from loomgraph.operators.references import orphan_references, orphan_report
+from loomgraph.operators.schema_drift import consistent_heads, drift_events
 from loomgraph.session import read_table
 
 
@@ -19,6 +20,14 @@ def p2_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orphan_report(orphan_references(edges, nodes))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drift_events(read_table(spark, sf_dir, "raw_guidelines"))
+
+
+def p4_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return consistent_heads(read_table(spark, sf_dir, "raw_guidelines"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = flatten_bodies(read_table(spark, sf_dir, "raw_guidelines"))
     return flat.select("file_id", "kind", "json_pointer", "parent_pointer")
@@ -35,6 +44,8 @@ def p5_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "p2_found": p2_found,
     "p2_report": p2_report,
+    "p4_found": p4_found,
+    "p4_heads": p4_heads,
     "p5_found": p5_found,
     "p5_sections": p5_sections,
     "p5_genes": p5_genes,
