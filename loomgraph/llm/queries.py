@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomgraph.llm.abuse import rates_by_source, score_documents
 from loomgraph.llm.canonical import map_values
 from loomgraph.llm.copies import collapsed, copies_found, keyed_records
 from loomgraph.llm.mixing import mix_report, mix_sources
@@ -61,6 +62,18 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(*_mix(spark, sf_dir))
 
 
+def p9_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "doc_labels"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p9_scores(spark, sf_dir).where("flagged").select("doc_id")
+
+
+def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rates_by_source(p9_scores(spark, sf_dir))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_pieces": p1_pieces,
@@ -71,6 +84,9 @@ QUERIES = {
     "p7_ids": p7_ids,
     "p8_mix": p8_mix,
     "p8_shares": p8_shares,
+    "p9_found": p9_found,
+    "p9_scores": p9_scores,
+    "p9_rates": p9_rates,
 }
 
 ORACLES = {
