@@ -191,7 +191,9 @@ def match_values(values: DataFrame, terms: DataFrame, threshold: float = THRESHO
     index = cut(index.join(norms, ["kind", "entry"]).select("kind", "gram", "entry", "alias", "term_id", "w", "entry_norm"))
     small = F.broadcast if n_entries <= BROADCAST_ENTRIES else (lambda d: d)
 
-    forms = values.select("kind", "value", F.explode(_forms(F.col("value"), F.col("kind"))).alias("form"))
+    # few bytes but much work: kept apart, as adaptive execution would put them together; the later groups fit this split
+    parts = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    forms = values.repartition(parts, "kind", "value").select("kind", "value", F.explode(_forms(F.col("value"), F.col("kind"))).alias("form"))
     looked = forms.withColumn("key", F.when(F.col("kind") == "gene", F.translate("form", "0124568", "OIZASGB")).otherwise(F.regexp_replace("form", "[.]", "")))
     # a gene's number is looked up as it is, too: both readings share the vector of the form
     bag = F.when(F.col("kind") == "gene", F.array_union(grams(F.col("form")), grams(F.col("key")))).otherwise(grams(F.col("key")))
