@@ -37,7 +37,7 @@ def _plan(classes: list, targets: list, total: int | None, power: float) -> dict
         total = min([sum(size[s] for s in used), *(int(reps * size[s] * shares / share) for s, (share, reps) in used.items())])
     plan = {}
     for s, (share, reps) in used.items():
-        budget = min(total * share / shares, reps * size[s])
+        budget = float(min(total * share / shares, reps * size[s]))
         low, high = 0.0, 1.0
         copies = lambda k: sum(min(reps, k * x**power) * t for x, t in by[s])
         while copies(high) < budget * (1 - 1e-12) and high < 1e12:
@@ -45,7 +45,7 @@ def _plan(classes: list, targets: list, total: int | None, power: float) -> dict
         for _ in range(80):
             mid = (low + high) / 2
             low, high = (mid, high) if copies(mid) < budget else (low, mid)
-        plan[s] = {"budget": budget, "scale": high, "reps": reps}
+        plan[s] = {"budget": budget, "scale": high, "reps": int(reps)}
     return plan
 
 
