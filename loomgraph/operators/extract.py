@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from loomgraph.functions import ids
 from loomgraph.functions.text import evidence_class, evidence_level, is_against, is_recommendation, json_value
 from loomgraph.operators.graph import GraphStore, first_wins, merge_edges, merge_properties
+from loomgraph.operators.skew import heavy_keys, lookup_join
 from loomgraph.operators.terms import match_terms
+from loomgraph.session import cut
 
 GUIDELINE_PROPERTIES = ("guideline_id", "family", "organization", "publication_date", "journal", "pages", "source_json_path", "source_pdf_path")
 
@@ -39,9 +41,20 @@ def _padded(seq: Column) -> Column:
     return F.lpad(seq.cast("string"), 20, "0")
 
 
+SOURCE_COLUMNS = ("guideline_title", "source_json_path", "source_pdf_path")
+
+
+def with_sources(snippets: DataFrame, guidelines: DataFrame) -> DataFrame:
+    """Snippets (cut) with their guideline's title and paths; a guideline with many snippets is joined by broadcast."""
+    about = guidelines.select("guideline_id", F.col("title").alias("guideline_title"), "source_json_path", "source_pdf_path")
+    heavy = cut(heavy_keys(snippets, "guideline_id", snippets.count()))
+    return lookup_join(snippets.drop(*SOURCE_COLUMNS), about, "guideline_id", heavy)
+
+
 def snippet_nodes(snippets: DataFrame) -> DataFrame:
+    """Nodes of snippets that went through ``with_sources``."""
     c = F.col
-    values = {n: c(n) for n in ("text", "snippet_type", "guideline_id", "section_path", "page", "json_pointer")}
+    values = {n: c(n) for n in ("text", "snippet_type", "guideline_id", "section_path", "page", "json_pointer", *SOURCE_COLUMNS)}
     return snippets.select("guideline_id", _order(1, _padded(c("seq"))), *node("Snippet", c("snippet_id"), F.substring("text", 1, 80), props(**values)))
 
 
@@ -193,14 +206,14 @@ def extract_graph(guidelines: DataFrame, snippets: DataFrame, mentions: DataFram
     """The graph of all documents in one plan.
 
     Expects one row per guideline, chunked snippets with ids, and merged mentions with upper-case symbols; rows without
-    guideline_id are left out. Snippets are read several times and should be cut.
+    guideline_id are left out. All three are read several times and should be cut.
     """
     guidelines, snippets, mentions = (d.where(F.col("guideline_id").isNotNull()) for d in (guidelines, snippets, mentions))
-    snippets = snippets.where(F.col("text").isNotNull() & F.col("snippet_id").isNotNull())
+    snippets = cut(with_sources(snippets.where(F.col("text").isNotNull() & F.col("snippet_id").isNotNull()), guidelines))
     mentions = mentions.where(F.col("gene_symbol").isNotNull())
     found = match_terms(snippets, document_terms(mentions, terms))
-    matches = found.join(snippets.select("snippet_id", "guideline_id").distinct(), "snippet_id")
-    recs = recommendations(snippets)
+    matches = cut(found.join(snippets.select("snippet_id", "guideline_id").distinct(), "snippet_id"))
+    recs = cut(recommendations(snippets))
     nodes = guideline_nodes(guidelines)
     for part in (snippet_nodes(snippets), section_nodes(snippets), entity_nodes(matches, mentions, recs), recommendation_nodes(recs)):
         nodes = nodes.unionByName(part)

@@ -89,7 +89,8 @@ class GeneContext:
     def supporting_snippets(self) -> DataFrame:
         rows = self.nodes.where(F.col("label") == "Snippet")
         return rows.select(
-            "gene_id", F.col("node_id").alias("snippet_id"), F.coalesce(text_of("text"), F.lit("")).alias("text"), text_of("guideline_title").alias("guideline_title"), text_of("page").alias("page")
+            "gene_id", F.col("node_id").alias("snippet_id"), F.coalesce(text_of("text"), F.lit("")).alias("text"), text_of("guideline_title").alias("guideline_title"), text_of("page").alias("page"),
+            F.col("properties")["section_path"].alias("section_path"), text_of("source_json_path").alias("source_json_path"), text_of("source_pdf_path").alias("source_pdf_path"),
         ).orderBy("gene_id", F.coalesce("guideline_title", F.lit("")), F.coalesce("page", F.lit("")), "snippet_id")
 
     def guidelines(self) -> DataFrame:

@@ -350,6 +350,22 @@ def all_gene_contexts(spark, d):
     return c.edges.groupBy("gene_id").agg(F.count(F.lit(1)).alias("n_edges"), F.countDistinct("relation").alias("n_relations"))
 
 
+def recommendation_rollup(spark, d):
+    """Every recommendation of the graph with its drugs and snippets."""
+    g = graph_of(spark, d)
+    whole = GeneContext(g.nodes.withColumn("gene_id", F.lit("all")), g.edges.withColumn("gene_id", F.lit("all")))
+    j = lambda c: F.array_join(c, "|").alias(c)
+    return whole.recommendations().select("recommendation_id", "evidence_class", j("drugs"), j("supporting_snippet_ids"))
+
+
+def built_recommendations(spark, d):
+    """The recommendations about one gene in the graph that is built from the tables, with what shares their snippets."""
+    g = _built(spark, d)
+    g = GraphStore(cut(g.nodes), cut(g.edges))
+    c = GeneContext.of(g, spark.createDataFrame([(f"gene:{GENE}",)], "gene_id string"))
+    return c.recommendations(fill=True).drop("gene_id")
+
+
 def reranked(spark, d):
     return rerank(snippets_of(spark, d).select("snippet_id", "text"), QUESTION, 10).select("snippet_id", "phrase", "overlap")
 
@@ -405,7 +421,7 @@ QUERIES = {
         mention_conditions, section_graph, recommendation_scan, text_flags, recommendation_terms, built_nodes, built_edges, predicted_edges, predictor_candidates,
         node_upsert, edge_upsert, edge_first, checked_edges, label_scan, label_counts, point_lookup, adjacency, degrees, k_hop_edges, k_hop_nodes, k_hop_path_edges,
         exact_gene, fuzzy_gene, gene_context_edges, gene_context_nodes, gene_snippets, gene_guidelines, gene_conditions, gene_recommendations, gene_summary,
-        all_gene_contexts, reranked, token_sets, tfidf_terms, tfidf_weights, tfidf_search, pending_documents, validation_report,
+        all_gene_contexts, recommendation_rollup, built_recommendations, reranked, token_sets, tfidf_terms, tfidf_weights, tfidf_search, pending_documents, validation_report,
     )
 }
 
@@ -508,7 +524,7 @@ ORACLES = {
     "snippet_first_wins": f"""WITH x AS (SELECT row_id, guideline_id, snippet_type, trim(regexp_replace(text, '{_SP}+', ' ', 'g')) AS t, array_to_string(coalesce(section_path, []), '|') AS section FROM snippets)
       SELECT row_id, snippet_type, md5(t) AS text_md5 FROM x WHERE length(t) >= 25 QUALIFY row_number() OVER (PARTITION BY guideline_id, section, t ORDER BY row_id) = 1""",
     "mention_merge": f"WITH {_MENTIONS} SELECT row_id, gene_symbol, occurrences, array_to_string(list_transform(associated_conditions, lambda x: coalesce(x, '<null>')), '|') AS conditions FROM m",
-    "sentence_counts": rf"SELECT row_id, len(string_split(regexp_replace(text, '([.!?]){_SP}+', '\1' || chr(1), 'g'), chr(1))) AS n_sentences FROM snippets WHERE text IS NOT NULL",
+    "sentence_counts": rf"SELECT row_id, len(string_split(regexp_replace(text, '([.!?]){_SP}+', '\1' || chr(1), 'g'), chr(1)))::INT AS n_sentences FROM snippets WHERE text IS NOT NULL",
     "term_matches": f"WITH {_MATCHES} SELECT snippet_id, kind, term FROM found",
     "term_counts": f"WITH {_MATCHES} SELECT kind, term, count(*) AS n_snippets, count(DISTINCT guideline_id) AS n_guidelines FROM found GROUP BY ALL",
     "document_term_matches": f"SELECT DISTINCT doc_id::VARCHAR AS snippet_id, kind, term FROM documents s JOIN terms t ON (t.guideline_id IS NULL OR t.guideline_id = s.guideline_id) AND kind = 'drug' AND {_found('text')}",
@@ -542,7 +558,7 @@ ORACLES = {
     "label_counts": f"WITH {_GRAPH} SELECT label, count(*) AS n FROM live GROUP BY label",
     "point_lookup": f"WITH {_GRAPH} SELECT node_id, label, name FROM live WHERE node_id = 'gene:{GENE}'",
     "adjacency": f"WITH {_GRAPH} SELECT edge_id, relation, source_id, target_id FROM e WHERE source_id = 'gene:{GENE}' OR target_id = 'gene:{GENE}'",
-    "degrees": f"WITH {_GRAPH}, x AS (SELECT source_id AS node_id, 1 AS o, 0 AS i FROM e UNION ALL SELECT target_id, 0, 1 FROM e) SELECT node_id, sum(o) AS out_degree, sum(i) AS in_degree FROM x WHERE node_id IS NOT NULL GROUP BY node_id",
+    "degrees": f"WITH {_GRAPH}, x AS (SELECT source_id AS node_id, 1 AS o, 0 AS i FROM e UNION ALL SELECT target_id, 0, 1 FROM e) SELECT node_id, sum(o)::BIGINT AS out_degree, sum(i)::BIGINT AS in_degree FROM x WHERE node_id IS NOT NULL GROUP BY node_id",
     "k_hop_edges": f"WITH {_HOPS} SELECT edge_id FROM e WHERE source_id IN (SELECT node_id FROM h2) AND target_id IN (SELECT node_id FROM h2)",
     "k_hop_nodes": f"WITH {_HOPS} SELECT node_id, label FROM live WHERE node_id IN (SELECT node_id FROM h2)",
     "k_hop_path_edges": f"WITH {_HOPS} SELECT edge_id FROM e WHERE source_id IN (SELECT node_id FROM h1) OR target_id IN (SELECT node_id FROM h1)",
@@ -567,6 +583,11 @@ ORACLES = {
         || coalesce((SELECT string_agg(name, ', ' ORDER BY name, node_id) FROM c5), 'no linked conditions yet') || '. Extracted recommendation evidence classes: '
         || coalesce((SELECT string_agg(c, ', ' ORDER BY c) FROM ev WHERE c <> ''), 'no explicit evidence classes extracted') || '.' AS summary FROM cn WHERE node_id = 'gene:{GENE}'""",
     "all_gene_contexts": "WITH " + _context_sql("SELECT node_id FROM live WHERE label = 'Gene'") + " SELECT gene_id, count(DISTINCT edge_id) AS n_edges, count(DISTINCT relation) AS n_relations FROM ce GROUP BY gene_id",
+    "recommendation_rollup": f"""WITH {_GRAPH}, aimed AS (SELECT e.source_id, e.target_id, e.relation, live.name FROM e LEFT JOIN live ON live.node_id = e.target_id),
+      pick AS (SELECT source_id AS node_id, array_to_string(list_sort(list_distinct(list(name) FILTER (relation IN ('RECOMMENDS', 'CONTRAINDICATED_FOR') AND name IS NOT NULL))), '|') AS drugs,
+        array_to_string(list_sort(list_distinct(list(target_id) FILTER (relation = 'SUPPORTED_BY_SNIPPET' AND target_id IS NOT NULL))), '|') AS ids FROM aimed GROUP BY source_id)
+      SELECT node_id AS recommendation_id, {_text('evidence_class')} AS evidence_class, coalesce(drugs, '') AS drugs, coalesce(ids, '') AS supporting_snippet_ids
+      FROM live LEFT JOIN pick USING (node_id) WHERE label = 'Recommendation'""",
     "reranked": f"""WITH {_SNIPPETS}, q AS (SELECT list_distinct(list_filter({_asked}, lambda x: length(x) > 1)) AS t),
       x AS (SELECT snippet_id, contains(lower(text), lower({_sql_text(QUESTION)}))::INT AS phrase, len(list_intersect(list_distinct(list_filter(regexp_extract_all(lower(text), '[a-z0-9]+'), lambda x: length(x) > 1)), (SELECT t FROM q)))::INT AS overlap FROM s)
       SELECT * FROM x ORDER BY phrase DESC, overlap DESC, snippet_id DESC LIMIT 10""",

@@ -19,8 +19,9 @@ from loomgraph.operators.extract import (
     section_edges,
     section_nodes,
     snippet_nodes,
+    with_sources,
 )
-from loomgraph.operators.graph import GraphStore
+from loomgraph.operators.graph import GraphStore, first_wins
 from loomgraph.operators.normalize import normalize
 from loomgraph.operators.retrieval import GeneContext, rerank, resolve_exact, resolve_fuzzy
 from loomgraph.operators.structured import candidate_snippets, predict, prediction_edges, prediction_nodes
@@ -96,14 +97,16 @@ class Pipeline:
         if docs is None:
             return read_graph(self.spark, s.at("no graph"))
         snippets = cut(chunk_snippets(self._read("snippets"), s.chunk_size, s.chunk_overlap))
-        mentions = self._read("gene_mentions")
-        docs = docs.withColumn("source_pdf_path", F.lit(None).cast("string"))
+        mentions = cut(self._read("gene_mentions"))
+        pdfs = self._state().select(F.col("doc_id").alias("guideline_id"), "source_pdf_path")
+        docs = cut(first_wins(docs, ["guideline_id"], "source_json_path").join(pdfs, "guideline_id", "left"))
         if self.predictor is None:
             return extract_graph(docs, snippets, mentions, self.terms())
         names = {k: list(getattr(s, k)) for k in ("conditions", "biomarkers", "drugs")}
         symbols = mentions.select("gene_symbol").where(F.col("gene_symbol").isNotNull()).distinct().limit(10_000)  # goes into each prompt
         names["genes"] = [r[0] for r in symbols.collect()]
         predicted = cut(predict(candidate_snippets(snippets, mentions), self.predictor, names))
+        snippets = cut(with_sources(snippets, docs))
         nodes, edges = guideline_nodes(docs), guideline_edges(snippets)
         for part in (snippet_nodes(snippets), section_nodes(snippets), prediction_nodes(predicted)):
             nodes = nodes.unionByName(part)
