@@ -7,8 +7,16 @@ from pyspark.sql import functions as F
 
 from loomgraph.functions.text import WORD, is_word, term_found
 
-#: Up to this many terms that are matched anywhere, each text is tried against all; beyond, texts are indexed by trigram.
+#: Up to this many terms that are matched anywhere, each text is tried against all; beyond, texts are indexed.
 THETA_TERMS = 2_000
+#: Length of the part of a term by which it is looked up in a text's index.
+LONG_GRAM = 8
+
+
+def _grams(texts: DataFrame, n: int) -> DataFrame:
+    """(snippet_id, guideline_id, anchor): the distinct n-grams of each lower-cased text, without the text itself."""
+    grams = F.regexp_extract_all(F.lower("text"), F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))  # all places, overlapping
+    return texts.select("snippet_id", "guideline_id", F.explode(F.array_distinct(grams)).alias("anchor"))
 
 
 def match_terms(texts: DataFrame, terms: DataFrame, theta_terms: int = THETA_TERMS) -> DataFrame:
@@ -18,10 +26,10 @@ def match_terms(texts: DataFrame, terms: DataFrame, theta_terms: int = THETA_TER
     terms and texts match nothing.
 
     Terms that are words join on their first token, an equality; a hyphenated one is then checked in place. Other
-    terms may begin inside a word: a counted short list is broadcast and prefiltered by containment; a longer list
-    joins on each term's first three letters against the trigrams of the text.
+    terms may begin inside a word: a counted short list is broadcast and prefiltered by containment; terms of a longer
+    list are looked up by a part of eight signs in an index of the texts, and the pairs found are checked in place.
     """
-    texts = texts.select("snippet_id", "guideline_id", "text").where(F.col("text") != "")
+    texts = texts.select("snippet_id", F.coalesce("guideline_id", F.lit("")).alias("guideline_id"), "text").where(F.col("text") != "")
     terms = terms.select(F.col("guideline_id").alias("scope"), "kind", "term").where(F.col("term") != "").distinct()
     in_scope = F.col("scope").isNull() | (F.col("scope") == F.col("guideline_id"))
 
@@ -36,15 +44,20 @@ def match_terms(texts: DataFrame, terms: DataFrame, theta_terms: int = THETA_TER
         inside = F.lower("text").contains(F.lower("term"))
         of_phrases = texts.join(F.broadcast(phrases), in_scope & inside & term_found(F.col("text"), F.col("term")))
     else:
-        low = F.lower("text")
-        grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(low) - 2, F.lit(1))), lambda i: F.substring(low, i, F.lit(3))))
-        short = F.length("term") < 3
-        indexed = texts.select("snippet_id", "guideline_id", "text", F.explode(grams).alias("anchor"))
-        long_ones = phrases.where(~short).withColumn("anchor", F.substring(F.lower("term"), 1, 3))
-        of_phrases = indexed.join(long_ones, "anchor").where(in_scope & term_found(F.col("text"), F.col("term")))
-        tiny = phrases.where(short)  # at most the pairs of signs there are
-        of_phrases = of_phrases.select("snippet_id", "kind", "term").unionByName(
-            texts.join(tiny, in_scope & term_found(F.col("text"), F.col("term"))).select("snippet_id", "kind", "term")
-        )
+        pairs = None
+        for least, most, n in ((LONG_GRAM, None, LONG_GRAM), (3, LONG_GRAM - 1, 3)):
+            size = F.length("term")
+            own = phrases.where(size >= least if most is None else (size >= least) & (size <= most))
+            if most is not None and own.isEmpty():
+                continue
+            # around the first blank, where terms that begin alike differ
+            start = F.greatest(F.lit(1), F.least(F.instr(F.col("term"), " ") - 3, size - (n - 1)))
+            anchored = own.withColumn("anchor", F.lower("term").substr(start, F.lit(n)))
+            found = _grams(texts, n).join(anchored, "anchor").where(in_scope).select("snippet_id", "guideline_id", "kind", "term")
+            pairs = found if pairs is None else pairs.unionByName(found)
+        checked = pairs.distinct().join(texts.select("snippet_id", "guideline_id", "text"), ["snippet_id", "guideline_id"])
+        tiny = phrases.where(F.length("term") < 3)  # at most the pairs of signs there are
+        some = texts.join(tiny, in_scope & term_found(F.col("text"), F.col("term")))
+        of_phrases = checked.where(term_found(F.col("text"), F.col("term"))).select("snippet_id", "kind", "term").unionByName(some.select("snippet_id", "kind", "term"))
     keep = ["snippet_id", "kind", "term"]
     return of_words.select(*keep).unionByName(of_phrases.select(*keep)).distinct()

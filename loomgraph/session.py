@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
 import zipfile
@@ -12,10 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "loomgraph", cores: str = "*", shuffle_partitions: int | None = None) -> SparkSession:
-    """A session with adaptive execution on, UTC, and Arrow transfer to Python."""
+    """A local session with adaptive execution on, UTC, and Arrow transfer to Python.
+
+    In local mode all tasks share the driver's memory: LOOMGRAPH_DRIVER_MEMORY, by default 12g.
+    """
     b = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
+        .config("spark.driver.memory", os.environ.get("LOOMGRAPH_DRIVER_MEMORY", "12g"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
