@@ -165,24 +165,43 @@ def recommendation_term_edges(recs: DataFrame, matches: DataFrame) -> DataFrame:
     return genes.unionByName(drugs)
 
 
+def gene_nodes(rows: DataFrame) -> DataFrame:
+    """Gene nodes of (guideline_id, term)."""
+    symbol = F.upper("term")
+    return rows.distinct().select("guideline_id", _order(2, symbol), *node("Gene", ids.gene_id(F.col("term")), symbol, props(gene_symbol=symbol)))
+
+
+def named_nodes(label: str, rows: DataFrame) -> DataFrame:
+    """Nodes of the entities of one label, of (guideline_id, term)."""
+    name = ids.strip(F.col("term"))
+    return rows.distinct().select("guideline_id", _order(3, name), *node(label, ids.entity_id(label, name), name, props(canonical_name=name)))
+
+
+def mentioned_conditions(mentions: DataFrame) -> DataFrame:
+    return mentions.select("guideline_id", F.explode("associated_conditions").alias("term")).where(F.col("term").isNotNull())
+
+
+def mention_nodes(mentions: DataFrame) -> DataFrame:
+    """Gene and condition nodes of mentions: the ends of ``mention_edges`` and ``mention_condition_edges``."""
+    genes = mentions.select("guideline_id", F.col("gene_symbol").alias("term"))
+    return gene_nodes(genes).unionByName(named_nodes("Condition", mentioned_conditions(mentions)))
+
+
 def entity_nodes(matches: DataFrame, mentions: DataFrame, recs: DataFrame) -> DataFrame:
     """Gene, condition, biomarker, drug and evidence nodes. Of matches only those that an edge can lead to."""
     with_gene = matches.where(F.col("kind") == "gene").select("snippet_id")
     usable = matches.join(with_gene.distinct(), "snippet_id", "left_semi").where(F.col("kind").isin("condition", "biomarker"))
     drugs = matches.where(F.col("kind") == "drug").join(recs.select("snippet_id").distinct(), "snippet_id", "left_semi")
     genes = mentions.select("guideline_id", F.col("gene_symbol").alias("term")).unionByName(matches.where(F.col("kind") == "gene").select("guideline_id", "term"))
-    symbol = F.upper("term")
-    out = genes.distinct().select("guideline_id", _order(2, symbol), *node("Gene", ids.gene_id(F.col("term")), symbol, props(gene_symbol=symbol)))
-    named = mentions.select("guideline_id", F.explode("associated_conditions").alias("term")).where(F.col("term").isNotNull())
+    out = gene_nodes(genes)
     for label, rows in (
-        ("Condition", named.unionByName(usable.where(F.col("kind") == "condition").select("guideline_id", "term"))),
+        ("Condition", mentioned_conditions(mentions).unionByName(usable.where(F.col("kind") == "condition").select("guideline_id", "term"))),
         ("Biomarker", usable.where(F.col("kind") == "biomarker").select("guideline_id", "term")),
         ("Drug", drugs.select("guideline_id", "term")),
         ("EvidenceClass", recs.select("guideline_id", F.col("evidence_class").alias("term")).where(F.col("term").isNotNull())),
         ("EvidenceLevel", recs.select("guideline_id", F.col("evidence_level").alias("term")).where(F.col("term").isNotNull())),
     ):
-        name = ids.strip(F.col("term"))
-        out = out.unionByName(rows.distinct().select("guideline_id", _order(3, name), *node(label, ids.entity_id(label, name), name, props(canonical_name=name))))
+        out = out.unionByName(named_nodes(label, rows))
     return out
 
 

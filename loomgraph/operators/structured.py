@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from loomgraph.functions import ids
 from loomgraph.functions.text import is_against
-from loomgraph.operators.extract import _order, edge, node, props
+from loomgraph.operators.extract import _order, edge, named_nodes, node, props
 from loomgraph.operators.terms import match_terms
 
 LOG = logging.getLogger(__name__)
@@ -87,7 +87,7 @@ def prediction_edges(predicted: DataFrame, source: str = "predictor") -> DataFra
 
 
 def prediction_nodes(predicted: DataFrame, source: str = "predictor") -> DataFrame:
-    """Entity and recommendation nodes of predictions; a recommendation carries its confidence."""
+    """Entity, evidence and recommendation nodes of predictions; a recommendation carries its confidence."""
     out = None
     for column, label in (("genes", "Gene"), ("conditions", "Condition"), ("biomarkers", "Biomarker"), ("drugs", "Drug")):
         named = predicted.select("guideline_id", F.explode(column).alias("x")).select("guideline_id", ids.strip(F.col("x")).alias("x")).where(F.col("x") != "").distinct()
@@ -98,6 +98,8 @@ def prediction_nodes(predicted: DataFrame, source: str = "predictor") -> DataFra
         out = rows if out is None else out.unionByName(rows)
     text = F.nullif(ids.strip(F.col("recommendation_text")), F.lit(""))
     recs = predicted.withColumn("text", text).where(F.col("text").isNotNull())
+    for column, label in (("evidence_class", "EvidenceClass"), ("evidence_level", "EvidenceLevel")):
+        out = out.unionByName(named_nodes(label, recs.select("guideline_id", F.col(column).alias("term")).where(F.col("term") != "")))
     values = {n: F.col(n) for n in ("text", "guideline_id", "section_path", "page", "evidence_class", "evidence_level")}
     own = props(**values, source=F.lit(source), confidence=F.col("confidence"))
     return out.unionByName(recs.select("guideline_id", _order(3, F.col("snippet_id")), *node("Recommendation", ids.recommendation_id(F.col("guideline_id"), F.col("text")), F.substring("text", 1, 80), own)))

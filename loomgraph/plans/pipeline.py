@@ -16,6 +16,7 @@ from loomgraph.operators.extract import (
     guideline_nodes,
     mention_condition_edges,
     mention_edges,
+    mention_nodes,
     section_edges,
     section_nodes,
     snippet_nodes,
@@ -108,7 +109,7 @@ class Pipeline:
         predicted = cut(predict(candidate_snippets(snippets, mentions), self.predictor, names))
         snippets = cut(with_sources(snippets, docs))
         nodes, edges = guideline_nodes(docs), guideline_edges(snippets)
-        for part in (snippet_nodes(snippets), section_nodes(snippets), prediction_nodes(predicted)):
+        for part in (snippet_nodes(snippets), section_nodes(snippets), mention_nodes(mentions), prediction_nodes(predicted)):
             nodes = nodes.unionByName(part)
         for part in (section_edges(snippets), mention_edges(mentions, snippets), mention_condition_edges(mentions), prediction_edges(predicted)):
             edges = edges.unionByName(part)

@@ -89,6 +89,20 @@ def test_predictor(pipe):
     assert "CONTRAINDICATED_FOR" in {r.relation for r in g.edges.collect()}
 
 
+def test_predictor_graph_is_whole(pipe):
+    def make():
+        return lambda p: {"genes": ["testq9"], "conditions": ["gout"], "drugs": ["aspirin"], "recommendation_text": "Take it.", "evidence_class": "I", "evidence_level": " B-R "}
+
+    pipe.predictor = make
+    pipe.run()
+    g = pipe.extract()
+    known = {r.node_id: r for r in g.nodes.collect()}
+    assert [r for r in g.edges.collect() if r.source_id not in known or r.target_id not in known] == []
+    names = {(n.label, n.name) for n in known.values()}
+    assert names >= {("Gene", "TESTA1"), ("Gene", "TESTB2"), ("Gene", "TESTQ9"), ("Condition", "hypertension"), ("Condition", "gout"), ("EvidenceClass", "I"), ("EvidenceLevel", "B-R")}
+    assert pipe.query_gene("testa1")["match_type"] == "exact" and pipe.subgraph("TESTB2").nodes.count() > 1
+
+
 def test_walk_rules():
     rows = list(walk_body(json.dumps(DOC)))
     snippets = [r for r in rows if r["kind"] == "snippet"]
