@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from loomgraph.functions import ids
 from loomgraph.functions.text import is_against
 from loomgraph.operators.extract import _order, edge, named_nodes, node, props
+from loomgraph.operators.skew import heavy_keys, lookup_join
 from loomgraph.operators.terms import match_terms
+from loomgraph.session import cut
 
 LOG = logging.getLogger(__name__)
 #: Names of conditions, biomarkers and drugs that are offered to the predictor, at most, of each.
@@ -40,17 +42,35 @@ def candidate_snippets(snippets: DataFrame, mentions: DataFrame) -> DataFrame:
     return kept.select(*snippets.columns)
 
 
-def predict(snippets: DataFrame, make: Callable[[], Callable[[dict], dict]], names: dict[str, list[str]]) -> DataFrame:
-    """Call the predictor on every snippet. ``make`` runs once per worker; a call that fails gives an empty result."""
-    offered = {k: sorted(v) if k == "genes" else sorted(v)[:OFFERED] for k, v in names.items()}
+def own_candidates(mentions: DataFrame) -> DataFrame:
+    """(guideline_id, own_genes, own_conditions): the distinct genes of a guideline's mentions, all of them, and their
+    conditions. Of these only the first OFFERED can be among the first OFFERED of a prompt."""
+    genes = mentions.where(F.col("gene_symbol").isNotNull()).groupBy("guideline_id").agg(F.collect_set("gene_symbol").alias("own_genes"))
+    named = mentions.select("guideline_id", F.explode("associated_conditions").alias("x")).where(F.col("x").isNotNull())
+    conditions = named.groupBy("guideline_id").agg(F.slice(F.array_sort(F.collect_set("x")), 1, OFFERED).alias("own_conditions"))
+    return genes.join(conditions, "guideline_id", "full").where(F.col("guideline_id").isNotNull())
+
+
+def predict(snippets: DataFrame, make: Callable[[], Callable[[dict], dict]], names: dict[str, list[str]], mentions: DataFrame) -> DataFrame:
+    """Call the predictor on every snippet (cut). ``make`` runs once per worker; a call that fails gives an empty result.
+
+    Offered are the genes that the snippet's own guideline mentions, and of conditions (``names`` and the guideline's
+    own), biomarkers and drugs the first OFFERED each.
+    """
+    heavy = cut(heavy_keys(snippets, "guideline_id", snippets.count()))
+    columns = ("guideline_id", "snippet_id", "seq", "section_path", "page", "text")
+    rows = lookup_join(snippets.select(*columns), own_candidates(mentions), "guideline_id", heavy)
+    offered = {k: sorted(v)[:OFFERED] for k, v in names.items()}
+    of = lambda x: [] if x is None else list(x)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ask = make()
         for batch in batches:
             rows = []
             for r in batch.to_dict("records"):
+                own = {"genes": sorted(of(r["own_genes"])), "conditions": sorted({*names["conditions"], *of(r["own_conditions"])})[:OFFERED]}
                 try:
-                    got = ask({"text": r["text"], "section_path": r["section_path"], "page": r["page"], "candidates": offered}) or {}
+                    got = ask({"text": r["text"], "section_path": r["section_path"], "page": r["page"], "candidates": offered | own}) or {}
                 except Exception as e:  # noqa: BLE001
                     LOG.warning("prediction failed for %s: %s", r["snippet_id"], e)
                     got = {}
@@ -58,7 +78,7 @@ def predict(snippets: DataFrame, make: Callable[[], Callable[[dict], dict]], nam
             if rows:
                 yield pd.DataFrame(rows)
 
-    return snippets.select("guideline_id", "snippet_id", "seq", "section_path", "page", "text").mapInPandas(run, PREDICTED)
+    return rows.select(*columns, "own_genes", "own_conditions").mapInPandas(run, PREDICTED)
 
 
 def prediction_edges(predicted: DataFrame, source: str = "predictor") -> DataFrame:

@@ -104,9 +104,7 @@ class Pipeline:
         if self.predictor is None:
             return extract_graph(docs, snippets, mentions, self.terms())
         names = {k: list(getattr(s, k)) for k in ("conditions", "biomarkers", "drugs")}
-        symbols = mentions.select("gene_symbol").where(F.col("gene_symbol").isNotNull()).distinct().limit(10_000)  # goes into each prompt
-        names["genes"] = [r[0] for r in symbols.collect()]
-        predicted = cut(predict(candidate_snippets(snippets, mentions), self.predictor, names))
+        predicted = cut(predict(cut(candidate_snippets(snippets, mentions)), self.predictor, names, mentions))
         snippets = cut(with_sources(snippets, docs))
         nodes, edges = guideline_nodes(docs), guideline_edges(snippets)
         for part in (snippet_nodes(snippets), section_nodes(snippets), mention_nodes(mentions), prediction_nodes(predicted)):

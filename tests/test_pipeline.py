@@ -103,6 +103,22 @@ def test_predictor_graph_is_whole(pipe):
     assert pipe.query_gene("testa1")["match_type"] == "exact" and pipe.subgraph("TESTB2").nodes.count() > 1
 
 
+def test_predictor_is_offered_its_own_document(pipe, tmp_path):
+    def make():
+        return lambda p: {"recommendation_text": json.dumps([len(p["candidates"]["genes"]), p["candidates"]["genes"][:2], p["candidates"]["conditions"]])}
+
+    many = [{"Gene": f"X{i:05}", "Associated Conditions": ["a rare ailment"] if i == 7 else []} for i in range(10_001)]
+    (tmp_path / "raw" / "four.json").write_text(json.dumps({"content": [{"content": {"text": "An invented text without any symbol in it."}}], "genes": many}))
+    pipe.settings = Settings(input_glob=pipe.settings.input_glob, work_folder=pipe.settings.work_folder, conditions=("gout",))
+    pipe.normalize()
+    pipe.predictor = make
+    seen = {(json.loads(r.properties["guideline_id"]), json.loads(r.properties["text"])) for r in pipe.extract().list_nodes("Recommendation").collect()}
+    assert seen == {
+        ("one", json.dumps([2, ["TESTA1", "TESTB2"], ["familial hypercholesterolemia", "gout", "hypertension"]])),
+        ("four", json.dumps([10_001, ["X00000", "X00001"], ["a rare ailment", "gout"]])),
+    }
+
+
 def test_walk_rules():
     rows = list(walk_body(json.dumps(DOC)))
     snippets = [r for r in rows if r["kind"] == "snippet"]
