@@ -158,9 +158,17 @@ def term_counts(spark, d):
     return m.groupBy("kind", "term").agg(F.count(F.lit(1)).alias("n_snippets"), F.countDistinct("guideline_id").alias("n_guidelines"))
 
 
+def _document_texts(spark, d):
+    return read_table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("snippet_id"), "guideline_id", "text")
+
+
 def document_term_matches(spark, d):
-    docs = read_table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("snippet_id"), "guideline_id", "text")
-    return match_terms(docs, read_table(spark, d, "terms").where(F.col("kind") == "drug"))
+    """Drugs only, as its SQL has it; ``document_all_term_matches`` has every kind."""
+    return match_terms(_document_texts(spark, d), read_table(spark, d, "terms").where(F.col("kind") == "drug"))
+
+
+def document_all_term_matches(spark, d):
+    return match_terms(_document_texts(spark, d), read_table(spark, d, "terms"))
 
 
 def _edges(df):
@@ -417,7 +425,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         slug_ids, hash_ids, json_scan, sidecar_join, normalized_documents, normalized_snippets, normalized_mentions, rejected_documents, schema_hints,
-        snippet_first_wins, mention_merge, chunk_windows, sentence_counts, term_matches, term_counts, document_term_matches, co_occurrence, mention_snippet_edges,
+        snippet_first_wins, mention_merge, chunk_windows, sentence_counts, term_matches, term_counts, document_term_matches, document_all_term_matches, co_occurrence, mention_snippet_edges,
         mention_conditions, section_graph, recommendation_scan, text_flags, recommendation_terms, built_nodes, built_edges, predicted_edges, predictor_candidates,
         node_upsert, edge_upsert, edge_first, checked_edges, label_scan, label_counts, point_lookup, adjacency, degrees, k_hop_edges, k_hop_nodes, k_hop_path_edges,
         exact_gene, fuzzy_gene, gene_context_edges, gene_context_nodes, gene_snippets, gene_guidelines, gene_conditions, gene_recommendations, gene_summary,
@@ -528,6 +536,7 @@ ORACLES = {
     "term_matches": f"WITH {_MATCHES} SELECT snippet_id, kind, term FROM found",
     "term_counts": f"WITH {_MATCHES} SELECT kind, term, count(*) AS n_snippets, count(DISTINCT guideline_id) AS n_guidelines FROM found GROUP BY ALL",
     "document_term_matches": f"SELECT DISTINCT doc_id::VARCHAR AS snippet_id, kind, term FROM documents s JOIN terms t ON (t.guideline_id IS NULL OR t.guideline_id = s.guideline_id) AND kind = 'drug' AND {_found('text')}",
+    "document_all_term_matches": f"SELECT DISTINCT doc_id::VARCHAR AS snippet_id, kind, term FROM documents s JOIN terms t ON (t.guideline_id IS NULL OR t.guideline_id = s.guideline_id) AND term <> '' AND {_found('text')}",
     "co_occurrence": f"""WITH {_MATCHES}, g AS (SELECT snippet_id, 'gene:' || upper(term) AS gene FROM found WHERE kind = 'gene')
       SELECT DISTINCT {_edge('gene', "'ASSOCIATED_WITH_CONDITION'", '(' + _entity('Condition', 'term') + ')', 'snippet_id')} FROM g JOIN found USING (snippet_id) WHERE kind = 'condition'
       UNION SELECT DISTINCT {_edge('gene', "'CO_MENTIONED_WITH'", '(' + _entity('Biomarker', 'term') + ')', 'snippet_id')} FROM g JOIN found USING (snippet_id) WHERE kind = 'biomarker'""",

@@ -40,3 +40,12 @@ def test_query(spark, sql, name):
     assert sorted(names) == cols
     order = sorted(range(len(names)), key=lambda i: names[i])
     assert got == sorted(tuple(norm(r[i]) for i in order) for r in rel.fetchall())
+
+
+def test_documents_are_searched_for_every_kind(spark, tmp_path):
+    docs = [(1, "g", "Statin for TESTA1 carriers with heart failure and high LDL-C"), (2, "h", "testa1, statins"), (3, None, None)]
+    terms = [(None, "drug", "statin"), (None, "gene", "TESTA1"), ("g", "condition", "heart failure"), ("h", "biomarker", "LDL-C"), (None, "biomarker", "LDL-C"), (None, "gene", None)]
+    spark.createDataFrame(docs, "doc_id bigint, guideline_id string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(terms, "guideline_id string, kind string, term string").write.parquet(str(tmp_path / "terms.parquet"))
+    got = sorted(map(tuple, entry.queries()["document_all_term_matches"](spark, str(tmp_path)).collect()))
+    assert got == [("1", "biomarker", "LDL-C"), ("1", "condition", "heart failure"), ("1", "drug", "statin"), ("1", "gene", "TESTA1"), ("2", "gene", "TESTA1")]
