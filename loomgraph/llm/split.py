@@ -92,8 +92,8 @@ def split_text(text: str, limit: int = LIMIT, overlap: int = OVERLAP, block: int
     depths = valley_depths(text, gaps, block)
     pieces, start, done, g = [], 0, 0, 0
     while n - start > limit:
-        high = start + limit
-        while g < len(gaps) and gaps[g] <= done:
+        low, high = start + overlap, start + limit  # a piece that ends at low or before leaves no room for the overlap
+        while g < len(gaps) and gaps[g] <= low:
             g += 1
         k, inside = g, []
         while k < len(gaps) and gaps[k] <= high:
@@ -105,11 +105,9 @@ def split_text(text: str, limit: int = LIMIT, overlap: int = OVERLAP, block: int
             best = max(late, key=lambda i: (round(depths[i], 9), gaps[i]))
             end, kind = gaps[best], "topic"
         else:
-            end, kind = _last_resort(text, done, high)
+            end, kind = _last_resort(text, low, high)
         pieces.append((start, end, kind))
-        done, start = end, max(0, end - overlap)
-        if start <= pieces[-1][0]:  # a piece no longer than the overlap: go on without it
-            start = end
+        done, start = end, end - overlap
     pieces.append((start, n, "end"))
     return pieces
 

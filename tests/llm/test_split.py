@@ -39,6 +39,20 @@ def test_overlap_is_exact_and_boundaries_natural():
     assert all(text[:b].rstrip().endswith(".") for _, b, kind in pieces if kind == "topic")
 
 
+@given(st.text(ALPHABET, max_size=400), st.integers(5, 60), st.integers(0, 4))
+@settings(max_examples=300, deadline=None)
+def test_overlap_is_never_dropped(text, limit, overlap):
+    pieces = split_text(text, limit, overlap)
+    assert all(c == b - overlap for (_, b, _), (c, _, _) in zip(pieces, pieces[1:]))
+
+
+def test_overlap_stays_after_a_short_heading():
+    text = "A short heading.\n" + "words without any stop " * 150
+    pieces = split_text(text)
+    assert all(c == b - 200 for (_, b, _), (c, _, _) in zip(pieces, pieces[1:])) and pieces[0][2] == "space"
+    assert all(b - a <= 1600 for a, b, _ in pieces) and pieces[0][0] == 0 and pieces[-1][1] == len(text)
+
+
 def test_a_giant_text_without_boundaries():
     pieces = split_text("x" * 1_000_000)
     assert all(kind in ("none", "end") for _, _, kind in pieces) and pieces[-1][1] == 1_000_000
