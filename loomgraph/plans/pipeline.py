@@ -133,7 +133,8 @@ class Pipeline:
         snippets = self._read("snippets")
         if snippets is None:
             return 0
-        texts = cut(snippets.select("snippet_id", "text").groupBy("snippet_id").agg(F.min("text").alias("text")))
+        # texts that begin alike share a snippet_id, so the index goes by row
+        texts = cut(snippets.select(F.concat_ws("#", "snippet_id", F.col("file_id").cast("string"), F.col("seq").cast("string")).alias("snippet_id"), "text"))
         TfidfIndex.fit(texts).save(self.settings.at("index"))
         return texts.count()
 
@@ -157,7 +158,7 @@ class Pipeline:
     def search(self, question: str) -> DataFrame | None:
         """The best snippets for a question; None without an index."""
         index = TfidfIndex.load(self.spark, self.settings.at("index"))
-        return None if index is None else index.search(question, self.settings.top_k)
+        return None if index is None else index.search(question, self.settings.top_k).withColumn("snippet_id", F.substring_index("snippet_id", "#", 1))
 
     def query_gene(self, gene: str, question: str | None = None) -> dict:
         """The answer about a gene: matches and the sections of its context, as small lists of rows."""

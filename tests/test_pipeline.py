@@ -119,6 +119,16 @@ def test_predictor_is_offered_its_own_document(pipe, tmp_path):
     }
 
 
+def test_texts_that_begin_alike_are_all_indexed(pipe, tmp_path):
+    start = "carriers of the variant " * 10
+    (tmp_path / "raw" / "four.json").write_text(json.dumps({"content": [{"content": {"a": start + "avoid alcohol", "b": start + "take zetimibe"}}]}))
+    pipe.settings = Settings(input_glob=str(tmp_path / "raw" / "four.json"), work_folder=pipe.settings.work_folder)
+    pipe.normalize()
+    assert pipe.build_index() == 2
+    found = [pipe.search(q).first().snippet_id for q in ("alcohol", "zetimibe")]
+    assert found[0] == found[1] == pipe._read("snippets").first().snippet_id
+
+
 def test_walk_rules():
     rows = list(walk_body(json.dumps(DOC)))
     snippets = [r for r in rows if r["kind"] == "snippet"]
