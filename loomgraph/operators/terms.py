@@ -1,63 +1,72 @@
-"""Finding the terms of dictionaries in texts."""
+"""Finding the terms of dictionaries in texts: one join by equality, whatever the length of the lists."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.functions.text import WORD, is_word, term_found
+from loomgraph.session import cut
 
-#: Up to this many terms that are matched anywhere, each text is tried against all; beyond, texts are indexed.
-THETA_TERMS = 2_000
-#: Length of the part of a term by which it is looked up in a text's index.
-LONG_GRAM = 8
+#: Each term is repeated for this many parts of the texts, so that a word of a third of all texts is no single task.
+SALTS = 8
+#: Where two words meet, with two signs of either: the part by which a phrase is looked up.
+SEAM = f"{WORD}{{2}}[^\\p{{L}}\\p{{N}}_]+{WORD}{{2}}"
+#: Longest part by which terms without a seam are looked up.
+GRAM = 3
 
 
-def _grams(texts: DataFrame, n: int) -> DataFrame:
-    """(snippet_id, guideline_id, anchor): the distinct n-grams of each lower-cased text, without the text itself."""
-    grams = F.regexp_extract_all(F.lower("text"), F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))  # all places, overlapping
-    return texts.select("snippet_id", "guideline_id", F.explode(F.array_distinct(grams)).alias("anchor"))
+def _anchored(terms: DataFrame) -> DataFrame:
+    """Terms with ``family`` and ``anchor``: the part by which a text is looked up, and where such parts come from.
 
+    ``word``: the first token of a term that is matched as a whole word; ``seam``: the first seam of another term;
+    ``1`` to ``3``: the first signs of a term without a seam, which may begin inside a word.
+    """
+    low = F.lower("term")
+    token, seam = F.regexp_extract(low, f"{WORD}+", 0), F.regexp_extract(low, SEAM, 0)
+    whole = is_word(F.col("term")) & (token != "")
+    family = F.when(whole, "word").when(seam != "", "seam").otherwise(F.least(F.length(low), F.lit(GRAM)).cast("string"))
+    anchor = F.when(whole, token).when(seam != "", seam).otherwise(F.substring(low, 1, GRAM))
+    return terms.select("scope", "kind", "term", family.alias("family"), anchor.alias("anchor"))
+
+
+def _parts(text: Column, family: str) -> Column:
+    """The distinct parts of a text that anchors of a family can equal."""
+    pattern = {"word": f"({WORD}+)", "seam": f"(?=({SEAM}))"}.get(family) or f"(?s)(?=(.{{{family}}}))"
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(1)))
 
-def match_terms(texts: DataFrame, terms: DataFrame, theta_terms: int = THETA_TERMS) -> DataFrame:
+
+def match_terms(texts: DataFrame, terms: DataFrame) -> DataFrame:
     """(snippet_id, kind, term) of every term in every text, once each.
 
-    ``texts``: snippet_id, guideline_id, text. ``terms``: guideline_id (null: for all), kind, term. Null and empty
-    terms and texts match nothing.
+    ``texts``: snippet_id, guideline_id, text. ``terms``: guideline_id (null: for all), kind, term. A term of a
+    guideline is looked for in that guideline's texts only. Null and empty terms and texts, and texts without
+    snippet_id, match nothing. Texts that share a snippet_id count as one; other columns are ignored.
 
-    Terms that are words join on their first token, an equality; a hyphenated one is then checked in place. Other
-    terms may begin inside a word: a counted short list is broadcast and prefiltered by containment; terms of a longer
-    list are looked up by a part of eight signs in an index of the texts, and the pairs found are checked in place.
+    A term joins texts by a part that any text holding it must have, together with its guideline if it has one, so
+    the rows of the join grow with the places that can match. Texts are not carried along: only where the part does
+    not decide are they fetched for the pairs found, and the term is checked in place.
     """
-    texts = texts.select("snippet_id", F.coalesce("guideline_id", F.lit("")).alias("guideline_id"), "text").where(F.col("text") != "")
+    texts = texts.select("snippet_id", "guideline_id", "text").where((F.col("text") != "") & F.col("snippet_id").isNotNull())
     terms = terms.select(F.col("guideline_id").alias("scope"), "kind", "term").where(F.col("term") != "").distinct()
-    in_scope = F.col("scope").isNull() | (F.col("scope") == F.col("guideline_id"))
-
-    words = terms.where(is_word(F.col("term"))).withColumn("anchor", F.regexp_extract(F.lower("term"), f"{WORD}+", 0)).where(F.col("anchor") != "")
-    bag = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(f"({WORD}+)"), F.lit(1)))
-    tokens = texts.select("snippet_id", "guideline_id", "text", F.explode(bag).alias("anchor"))
-    same = F.col("anchor") == F.lower("term")
-    of_words = tokens.join(words, "anchor").where(in_scope & (same | term_found(F.col("text"), F.col("term"))))
-
-    phrases = terms.where(~is_word(F.col("term")) | (F.regexp_extract(F.lower("term"), f"{WORD}+", 0) == ""))
-    if phrases.limit(theta_terms + 1).count() <= theta_terms:
-        inside = F.lower("text").contains(F.lower("term"))
-        of_phrases = texts.join(F.broadcast(phrases), in_scope & inside & term_found(F.col("text"), F.col("term")))
-    else:
-        pairs = None
-        for least, most, n in ((LONG_GRAM, None, LONG_GRAM), (3, LONG_GRAM - 1, 3)):
-            size = F.length("term")
-            own = phrases.where(size >= least if most is None else (size >= least) & (size <= most))
-            if most is not None and own.isEmpty():
-                continue
-            # around the first blank, where terms that begin alike differ
-            start = F.greatest(F.lit(1), F.least(F.instr(F.col("term"), " ") - 3, size - (n - 1)))
-            anchored = own.withColumn("anchor", F.lower("term").substr(start, F.lit(n)))
-            found = _grams(texts, n).join(anchored, "anchor").where(in_scope).select("snippet_id", "guideline_id", "kind", "term")
-            pairs = found if pairs is None else pairs.unionByName(found)
-        checked = pairs.distinct().join(texts.select("snippet_id", "guideline_id", "text"), ["snippet_id", "guideline_id"])
-        tiny = phrases.where(F.length("term") < 3)  # at most the pairs of signs there are
-        some = texts.join(tiny, in_scope & term_found(F.col("text"), F.col("term")))
-        of_phrases = checked.where(term_found(F.col("text"), F.col("term"))).select("snippet_id", "kind", "term").unionByName(some.select("snippet_id", "kind", "term"))
-    keep = ["snippet_id", "kind", "term"]
-    return of_words.select(*keep).unionByName(of_phrases.select(*keep)).distinct()
+    anchored = cut(_anchored(terms).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    present = anchored.select("family", F.col("scope").isNull().alias("everywhere")).distinct().collect()  # ten rows at most
+
+    schema = "snippet_id string, guideline_id string, kind string, term string, sure boolean"
+    pairs = texts.sparkSession.createDataFrame([], schema)
+    for family in sorted({r.family for r in present}):
+        salt = F.pmod(F.xxhash64("snippet_id"), F.lit(SALTS)).cast("int").alias("salt")
+        parts = texts.select("snippet_id", "guideline_id", salt, F.explode(_parts(F.col("text"), family)).alias("anchor"))
+        sure = (F.lit(family == "word") & (F.lower("term") == F.col("anchor"))).alias("sure")
+        keep = ["snippet_id", "guideline_id", "kind", "term", sure]
+        own = anchored.where(F.col("family") == family).drop("family")
+        if (family, True) in {tuple(r) for r in present}:
+            pairs = pairs.unionByName(parts.join(own.where(F.col("scope").isNull()).drop("scope"), ["anchor", "salt"]).select(*keep))
+        if (family, False) in {tuple(r) for r in present}:
+            scoped = own.where(F.col("scope").isNotNull()).withColumnRenamed("scope", "guideline_id")
+            pairs = pairs.unionByName(parts.join(scoped, ["guideline_id", "anchor", "salt"]).select(*keep))
+    pairs = cut(pairs)
+    open_ = pairs.where(~F.col("sure")).drop("sure").distinct()
+    at = (F.col("o.snippet_id") == F.col("t.snippet_id")) & F.col("o.guideline_id").eqNullSafe(F.col("t.guideline_id"))
+    checked = open_.alias("o").join(texts.alias("t"), at).where(term_found(F.col("text"), F.col("term")))
+    return pairs.where("sure").select("snippet_id", "kind", "term").unionByName(checked.select("o.snippet_id", "kind", "term")).distinct()

@@ -102,15 +102,28 @@ def test_rerank(spark):
     assert rerank(s, "?", 1).count() == 4
 
 
-def test_terms_both_ways(spark):
+def test_terms_of_every_shape(spark):
     texts = spark.createDataFrame([("1", "g", "LDL-C and éstatin, Lipoprotein(a)x; heart failures"), ("2", "h", "STATIN. gene-x"), ("3", None, None), ("4", "g", "")], "snippet_id string, guideline_id string, text string")
     terms = spark.createDataFrame(
         [(None, "b", "ldl-c"), (None, "d", "statin"), (None, "b", "lipoprotein(a)"), (None, "c", "heart failure"), ("h", "g", "gene-x"), ("g", "g", "gene-x"), (None, "x", None), (None, "x", ""), (None, "x", "t f")],
         "guideline_id string, kind string, term string",
     )
     want = {("1", "ldl-c"), ("1", "lipoprotein(a)"), ("1", "heart failure"), ("1", "t f"), ("2", "statin"), ("2", "gene-x")}
-    for theta in (1000, 0):
-        assert {(r.snippet_id, r.term) for r in match_terms(texts, terms, theta).collect()} == want
+    assert {(r.snippet_id, r.term) for r in match_terms(texts, terms).collect()} == want
+
+
+def test_terms_stay_in_their_guideline(spark):
+    """One gene that all guidelines mention, in all of their texts, and terms of one, two and many signs."""
+    texts = spark.createDataFrame([(f"{g}/{i}", f"g{g}", f"Carriers of ABCD1 in cohort {i}, 高血圧 and type-{g}") for g in range(20) for i in range(5)] + [(None, "g1", "ABCD1"), ("n", None, "ABCD1")], "snippet_id string, guideline_id string, text string")
+    terms = spark.createDataFrame(
+        [(f"g{g}", "gene", "abcd1") for g in range(20)] + [("g3", "x", "血"), ("g4", "x", "血圧"), (None, "x", "高血圧"), ("g5", "x", "cohort 1"), ("g6", "x", "type-6"), ("g7", "x", "type-6")],
+        "guideline_id string, kind string, term string",
+    )
+    want = {(f"{g}/{i}", t) for g in range(20) for i in range(5) for t in ("abcd1", "高血圧")} | {(f"3/{i}", "血") for i in range(5)} | {(f"4/{i}", "血圧") for i in range(5)}
+    want |= {("5/1", "cohort 1")} | {(f"6/{i}", "type-6") for i in range(5)}
+    got = [(r.snippet_id, r.term) for r in match_terms(texts, terms).collect()]
+    assert set(got) == want and len(got) == len(want)
+    assert match_terms(texts, terms.limit(0)).count() == 0 and match_terms(texts.limit(0), terms).count() == 0
 
 
 def test_mentions_merge(spark):
