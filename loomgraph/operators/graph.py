@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.session import cut
@@ -16,25 +16,21 @@ from loomgraph.session import cut
 NODE = ["node_id", "label", "name", "properties"]
 EDGE = ["edge_id", "source_id", "target_id", "relation", "properties"]
 NODE_SCHEMA = "node_id string, label string, name string, properties map<string,string>"
+#: What a database takes for a label or relation.
+IDENTIFIER = r"\A[A-Za-z][A-Za-z0-9_]*\z"
 EDGE_SCHEMA = "edge_id string, source_id string, target_id string, relation string, properties map<string,string>"
 
 
-def _overlay(m: Column, x: Column) -> Column:
-    return F.map_concat(F.map_filter(m, lambda k, v: ~F.array_contains(F.map_keys(x), k)), x)
-
-
 def merge_properties(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     """One row per key with the properties of all its rows laid over one another in order; later values win, nulls too.
 
-    Equal sets of properties are first brought down to their latest row by a combining aggregation, so a key with a
-    large share of the rows costs as many entries as it has different sets.
+    Each property is brought down to its latest value by a combining aggregation before a key's properties are put
+    together, so a key with a large share of the rows costs as many entries as it has property names.
     """
-    entries = F.array_sort(F.map_entries(F.coalesce("properties", F.create_map().cast("map<string,string>"))))
-    sets = rows.select(*keys, entries.alias("e"), F.col(order).alias("o")).groupBy(*keys, "e").agg(F.max("o").alias("o"))
-    stacked = sets.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("o", "e"))).alias("s"))
-    empty = F.create_map().cast("map<string,string>")
-    merged = F.aggregate("s", empty, lambda m, x: _overlay(m, F.map_from_entries(x["e"])))
-    return stacked.select(*keys, merged.alias("properties"))
+    each = rows.select(*keys, F.col(order).alias("o"), F.explode_outer("properties").alias("k", "v"))
+    latest = each.groupBy(*keys, "k").agg(F.max_by(F.struct("v"), "o").alias("x"))
+    entries = F.array_sort(F.collect_list(F.when(F.col("k").isNotNull(), F.struct("k", F.col("x.v").alias("v")))))
+    return latest.groupBy(*keys).agg(F.map_from_entries(entries).alias("properties"))
 
 
 def merge_nodes(rows: DataFrame, order: str) -> DataFrame:
@@ -89,12 +85,15 @@ class GraphStore:
         """The graph with more rows laid over it.
 
         Endpoints that no node row names become nodes without label, as in a file-backed store; with
-        ``require_endpoints`` such edges are dropped and null properties remove their key, as in a database.
+        ``require_endpoints`` such edges are dropped and null properties remove their key, as in a database, and
+        labels and relations must be plain identifiers (letters, digits and ``_``): others are an error.
         """
         age = lambda d, n: d.withColumn("age", F.lit(n))
         all_nodes = merge_nodes(age(self.nodes.select(*NODE), 0).unionByName(age(nodes.select(*NODE), 1)), "age")
         all_edges = merge_edges(age(self.edges.select(*EDGE), 0).unionByName(age(edges.select(*EDGE), 1)), "age")
         if require_endpoints:
+            checked = lambda d, c: d.withColumn(c, F.when(F.col(c).rlike(IDENTIFIER), F.col(c)).otherwise(F.raise_error(F.concat(F.lit("no identifier: "), F.coalesce(c, F.lit("null"))))))
+            all_nodes, all_edges = checked(all_nodes, "label"), checked(all_edges, "relation")
             live = all_nodes.select("node_id")
             all_edges = all_edges.join(live.withColumnRenamed("node_id", "source_id"), "source_id", "left_semi")
             all_edges = all_edges.join(live.withColumnRenamed("node_id", "target_id"), "target_id", "left_semi")
@@ -120,30 +119,35 @@ class GraphStore:
         return found.dropDuplicates(["edge_id"])
 
     def distances(self, node_id: str, depth: int) -> DataFrame:
-        """(node_id, hops) of the nodes within ``depth`` undirected hops of a node that exists."""
+        """(node_id, hops) of the nodes within ``depth`` undirected hops of a node that exists. Edges should be cut."""
         links = self.edges.select(F.col("source_id").alias("a"), F.col("target_id").alias("b"))
         links = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        reached = cut(self.get_node(node_id).select("node_id").distinct().withColumn("hops", F.lit(0)))
+        reached = last = cut(self.get_node(node_id).select("node_id").distinct().withColumn("hops", F.lit(0)))
         for hop in range(1, depth + 1):
-            edge_of = reached.where(F.col("hops") == hop - 1).select(F.col("node_id").alias("a"))
-            step = links.join(edge_of, "a", "left_semi").select(F.col("b").alias("node_id")).distinct()
-            new = step.join(reached, "node_id", "left_anti").withColumn("hops", F.lit(hop))
-            reached = cut(reached.unionByName(new))
+            step = links.join(last.select(F.col("node_id").alias("a")), "a", "left_semi").select(F.col("b").alias("node_id")).distinct()
+            last = cut(step.join(reached, "node_id", "left_anti").withColumn("hops", F.lit(hop)))
+            reached = reached.unionByName(last)
         return reached
 
+    def _settled(self) -> GraphStore:
+        """The same graph with its edges cut, as walks read them once per hop."""
+        return GraphStore(self.nodes, cut(self.edges))
+
     def k_hop(self, node_id: str, depth: int = 2) -> GraphStore:
         """The nodes within ``depth`` hops, the node itself too, with all edges among them. Unknown node: empty."""
-        near = self.distances(node_id, depth).select("node_id")
-        inner = self.edges.join(near.withColumnRenamed("node_id", "source_id"), "source_id", "left_semi")
+        own = self._settled()
+        near = own.distances(node_id, depth).select("node_id")
+        inner = own.edges.join(near.withColumnRenamed("node_id", "source_id"), "source_id", "left_semi")
         inner = inner.join(near.withColumnRenamed("node_id", "target_id"), "target_id", "left_semi")
         return GraphStore(self.nodes.join(near, "node_id", "left_semi"), inner.select(*EDGE))
 
     def k_hop_paths(self, node_id: str, depth: int = 2) -> GraphStore:
         """Nodes and edges on paths of up to ``depth`` (1 to 5) edges from the node. A node without edges: empty."""
         depth = min(max(depth, 1), 5)
-        inner = self.distances(node_id, depth - 1).select("node_id")
-        out = self.edges.join(inner.withColumnRenamed("node_id", "source_id"), "source_id", "left_semi").select(*EDGE)
-        into = self.edges.join(inner.withColumnRenamed("node_id", "target_id"), "target_id", "left_semi").select(*EDGE)
+        own = self._settled()
+        inner = own.distances(node_id, depth - 1).select("node_id")
+        out = own.edges.join(inner.withColumnRenamed("node_id", "source_id"), "source_id", "left_semi").select(*EDGE)
+        into = own.edges.join(inner.withColumnRenamed("node_id", "target_id"), "target_id", "left_semi").select(*EDGE)
         on_path = out.unionByName(into).dropDuplicates(["edge_id"])
         ends = on_path.select(F.explode(F.array("source_id", "target_id")).alias("node_id")).distinct()
         return GraphStore(self.nodes.join(ends, "node_id", "left_semi"), on_path)

@@ -70,3 +70,47 @@ def orphan_report(orphans: DataFrame) -> DataFrame:
     return orphans.groupBy("relation", F.date_format("period", "yyyy-MM").alias("period"), "side", "status").agg(
         F.count(F.lit(1)).alias("n_refs")
     )
+
+
+def count_orphans(edges: DataFrame, nodes: DataFrame, parts: int = HEAVY_PARTS) -> DataFrame:
+    """Number of orphan references, as ``orphan_report`` gives it: relation, period, side, status, n_refs.
+
+    References are counted per key, relation, side and month before any join, with their earliest and latest time, and
+    only counts meet the nodes. The counts decide everything but the lateness of references to a node that was first
+    written between the two times: of those keys the rows are looked at, and both orphan counts are united.
+    """
+    refs = endpoints(edges).withColumn("period", F.trunc("created_at", "month"))
+    by = ["relation", "period", "side"]
+    packed = cut(
+        refs.groupBy("ref", *by).agg(
+            F.count(F.lit(1)).alias("n"), F.count("created_at").alias("timed"), F.min("created_at").alias("first"), F.max("created_at").alias("last")
+        )
+    )
+    heavy = cut(heavy_keys(packed, "ref", packed.count(), parts))
+    joined = cut(lookup_join(packed, node_states(nodes), "ref", heavy))
+    status = (
+        F.when(F.col("known").isNull(), F.lit("missing"))
+        .when(F.col("gone"), F.lit("deleted"))
+        .when(F.col("first_seen") > F.col("last"), F.lit("late"))
+    )
+    counted = joined.select(*by, status.alias("status"), "n", "timed").where(F.col("status").isNotNull())
+    counted = counted.select(*by, "status", F.when(F.col("status") == "late", F.col("timed")).otherwise(F.col("n")).alias("n"))
+
+    between = F.col("known") & ~F.col("gone") & (F.col("first_seen") > F.col("first")) & (F.col("first_seen") <= F.col("last"))
+    open_ = cut(joined.where(between).select("ref", *by, "first_seen"))
+    late = None
+    totals = packed.groupBy("ref").agg(F.sum("n").alias("n"))
+    hot = cut(totals.where(F.col("n") >= max(2, -(-2 * edges.count() // parts))).select("ref"))
+    mark = F.broadcast(hot)
+    for how in ("left_semi", "left_anti"):  # hot keys: at most ``parts``, each with its months
+        wanted = open_.join(mark, "ref", how)
+        wanted = F.broadcast(wanted) if how == "left_semi" else wanted
+        same = [F.col(f"r.{c}").eqNullSafe(F.col(f"w.{c}")) for c in ("ref", *by)]
+        rows = refs.join(mark, "ref", how).alias("r").join(wanted.alias("w"), same)
+        found = rows.where(F.col("w.first_seen") > F.col("r.created_at")).select(*(F.col(f"r.{c}") for c in by), F.lit("late").alias("status"), F.lit(1).cast("bigint").alias("n"))
+        late = found if late is None else late.unionByName(found)
+    return (
+        counted.unionByName(late)
+        .groupBy("relation", F.date_format("period", "yyyy-MM").alias("period"), "side", "status")
+        .agg(F.sum("n").alias("n_refs"))
+    )

@@ -29,16 +29,20 @@ LISTS = ("genes", "conditions", "biomarkers", "drugs")
 def candidate_snippets(snippets: DataFrame, mentions: DataFrame) -> DataFrame:
     """Snippets worth a call: recommendations, those that name a mentioned gene, those of an item with a mention.
 
-    A guideline of which nothing would be left keeps all its snippets.
+    A guideline of which nothing would be left keeps all its snippets. Guidelines and content items with a large share
+    of the snippets are joined by broadcast. ``snippets`` should be cut.
     """
     genes = mentions.select("guideline_id", F.lit("gene").alias("kind"), F.col("gene_symbol").alias("term")).where(F.col("term").isNotNull()).distinct()
     named = match_terms(snippets, genes).select("snippet_id").distinct().withColumn("named", F.lit(True))
-    linked = mentions.where(F.col("content_index").isNotNull()).select("guideline_id", "content_index").distinct().withColumn("linked", F.lit(True))
-    marked = snippets.join(named, "snippet_id", "left").join(linked, ["guideline_id", "content_index"], "left")
+    item = F.when(F.col("guideline_id").isNotNull() & F.col("content_index").isNotNull(), F.concat(F.col("content_index").cast("string"), F.lit("/"), "guideline_id")).alias("item")
+    linked = mentions.select(item).where(F.col("item").isNotNull()).distinct().withColumn("linked", F.lit(True))
+    marked = snippets.join(named, "snippet_id", "left").withColumn("item", item).withColumn("home", F.coalesce(F.concat(F.lit("="), "guideline_id"), F.lit("")))
+    total = snippets.count()
+    marked = lookup_join(marked, linked, "item", cut(heavy_keys(marked.select("item"), "item", total)))
     chosen = F.coalesce(F.col("snippet_type") == "recommendation", F.lit(False)) | F.col("named").isNotNull() | F.col("linked").isNotNull()
-    marked = marked.withColumn("chosen", chosen)
-    some = marked.groupBy("guideline_id").agg(F.max("chosen").alias("any"))
-    kept = marked.join(some.withColumnRenamed("guideline_id", "g"), F.col("guideline_id").eqNullSafe(F.col("g"))).where(F.col("chosen") | ~F.col("any"))
+    marked = cut(marked.withColumn("chosen", chosen))
+    some = marked.groupBy("home").agg(F.max("chosen").alias("any"))
+    kept = lookup_join(marked, some, "home", cut(heavy_keys(marked, "home", total))).where(F.col("chosen") | ~F.col("any"))
     return kept.select(*snippets.columns)
 
 

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from loomgraph.operators.skew import HEAVY_PARTS, lookup_join
+from loomgraph.session import cut
+
 #: Tokens: two or more letters, digits or underscores.
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
@@ -36,15 +39,18 @@ class TfidfIndex:
         """Index (snippet_id, text). Texts that are null or without tokens count as documents but have no postings.
 
         idf = ln((1+N)/(1+df))+1; weight = tf*idf, scaled to length 1 per snippet. snippet_id must be unique.
+
+        Texts are taken apart once. Terms with a large share of the postings get their weight by broadcast, the others
+        by a shuffle; a snippet's length is summed over its own postings.
         """
         n = texts.count()
-        tf = counts(texts)
+        tf = cut(counts(texts))
         df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-        idf = df.withColumn("idf", F.log((F.lit(1.0) + F.lit(float(n))) / (F.col("df") + 1)) + 1)
-        weighed = tf.join(idf.select("term", "idf"), "term").select("snippet_id", "term", (F.col("tf") * F.col("idf")).alias("w"))
-        norm = weighed.groupBy("snippet_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-        postings = weighed.join(norm, "snippet_id").select("snippet_id", "term", (F.col("w") / F.col("norm")).alias("weight"))
-        return cls(postings, idf)
+        idf = cut(df.withColumn("idf", F.log((F.lit(1.0) + F.lit(float(n))) / (F.col("df") + 1)) + 1))
+        heavy = idf.where(F.col("df") >= max(2, -(-tf.count() // HEAVY_PARTS))).select("term")
+        weighed = lookup_join(tf, idf.select("term", "idf"), "term", heavy).withColumn("w", F.col("tf") * F.col("idf"))
+        norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("snippet_id")))
+        return cls(weighed.select("snippet_id", "term", (F.col("w") / norm).alias("weight")), idf)
 
     def search(self, query: str, top_k: int = 5) -> DataFrame:
         """snippet_id, score of the best snippets by cosine, above 0; ties by snippet_id.
@@ -54,11 +60,9 @@ class TfidfIndex:
         spark = self.idf.sparkSession
         asked = counts(spark.createDataFrame([("q", query)], "snippet_id string, text string")).drop("snippet_id")
         q = self.idf.join(F.broadcast(asked), "term").select("term", (F.col("tf") * F.col("idf")).alias("qw"))
-        length = q.agg(F.sqrt(F.sum(F.col("qw") * F.col("qw"))).alias("n")).first()["n"]
-        if not length:
-            return self.postings.select("snippet_id", F.col("weight").alias("score")).limit(0)
-        hits = self.postings.join(F.broadcast(q), "term")
-        scored = hits.groupBy("snippet_id").agg((F.sum(F.col("weight") * F.col("qw")) / F.lit(length)).alias("score"))
+        length = F.sqrt(F.sum(F.col("qw") * F.col("qw")).over(Window.partitionBy()))  # over the query's terms
+        hits = self.postings.join(F.broadcast(q.select("term", (F.col("qw") / length).alias("qw"))), "term")
+        scored = hits.groupBy("snippet_id").agg(F.sum(F.col("weight") * F.col("qw")).alias("score"))
         return scored.where(F.col("score") > 0).orderBy(F.desc("score"), "snippet_id").limit(top_k)
 
     def save(self, folder: str) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from loomgraph.operators.nested import flatten_bodies, nested_tables
-from loomgraph.operators.references import orphan_references, orphan_report
+from loomgraph.operators.references import count_orphans, orphan_references
 from loomgraph.operators.schema_drift import consistent_heads, drift_events
 from loomgraph.session import read_table
 
@@ -17,7 +17,7 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p2_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges, nodes = read_table(spark, sf_dir, "edges"), read_table(spark, sf_dir, "nodes")
-    return orphan_report(orphan_references(edges, nodes))
+    return count_orphans(edges, nodes)
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:

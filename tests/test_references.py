@@ -1,6 +1,6 @@
 import datetime as dt
 
-from loomgraph.operators.references import orphan_references, orphan_report
+from loomgraph.operators.references import count_orphans, orphan_references, orphan_report
 from loomgraph.operators.skew import heavy_keys, lookup_join
 
 NODES = "row_id bigint, node_id string, label string, deleted boolean, updated_at timestamp_ntz, relation string"
@@ -49,6 +49,9 @@ def test_statuses_and_report(spark):
         ]
     report = {(r.relation, r.period, r.status): r.n_refs for r in orphan_report(orphan_references(edges, nodes)).collect()}
     assert report["R", "2020-02", "missing"] == 1 and report["S", None, "deleted"] == 2
+    whole = sorted(map(str, orphan_report(orphan_references(edges, nodes)).collect()))
+    for parts in (1, 2, 10_000):
+        assert sorted(map(str, count_orphans(edges, nodes, parts).collect())) == whole
 
 
 def test_empty_tables(spark):
@@ -56,6 +59,16 @@ def test_empty_tables(spark):
     edges = spark.createDataFrame([(1, "e", "a", "b", "R", day(0), None)], EDGES)
     assert orphan_references(no_edges, no_nodes).count() == 0
     assert {r.status for r in orphan_references(edges, no_nodes).collect()} == {"missing"}
+    assert count_orphans(no_edges, no_nodes).count() == 0 and [r.n_refs for r in count_orphans(edges, no_nodes).collect()] == [1, 1]
+
+
+def test_counts_of_late_references_within_a_month(spark):
+    nodes = spark.createDataFrame([(1, "a", "x", False, day(10), None), (2, "b", "x", False, day(40), None)], NODES)
+    rows = [(i, f"e{i}", "a", "b", "R", day(i) if i < 60 else None, None) for i in range(70)]
+    edges = spark.createDataFrame(rows, EDGES)
+    want = sorted(map(str, orphan_report(orphan_references(edges, nodes)).collect()))
+    for parts in (1, 100_000):
+        assert sorted(map(str, count_orphans(edges, nodes, parts).collect())) == want
 
 
 def test_lookup_join_keeps_null_and_hot_keys(spark):
