@@ -54,7 +54,7 @@ def main(argv: list[str] | None = None) -> str:
         "export-subgraph": lambda: {"written": args.output or settings.at("subgraph")},
         "validate": lambda: pipe.validate(glob, limit or 2),
         "run-pipeline": lambda: pipe.run(glob, limit, force),
-        "resume": pipe.resume,
+        "resume": lambda: pipe.resume(glob, limit),
     }[args.command]()
     text = render(result, pretty=not args.plain)
     print(text)

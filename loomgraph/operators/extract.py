@@ -222,7 +222,12 @@ def assemble(node_rows: DataFrame, edge_rows: DataFrame) -> GraphStore:
 
 
 def extract_graph(guidelines: DataFrame, snippets: DataFrame, mentions: DataFrame, terms: DataFrame) -> GraphStore:
-    """The graph of all documents in one plan.
+    """The graph of all documents in one plan, see ``extract_rows``."""
+    return assemble(*extract_rows(guidelines, snippets, mentions, terms))
+
+
+def extract_rows(guidelines: DataFrame, snippets: DataFrame, mentions: DataFrame, terms: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Node and edge rows of all documents, to be merged by ``assemble``.
 
     Expects one row per guideline, chunked snippets with ids, and merged mentions with upper-case symbols; rows without
     guideline_id are left out. All three are read several times and should be cut.
@@ -250,4 +255,4 @@ def extract_graph(guidelines: DataFrame, snippets: DataFrame, mentions: DataFram
         recommendation_term_edges(recs, matches),
     ):
         edges = edges.unionByName(part)
-    return assemble(nodes, edges)
+    return nodes, edges

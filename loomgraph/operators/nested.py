@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from decimal import Decimal
 from json import JSONDecodeError
 from json.decoder import scanstring
 
@@ -69,7 +70,7 @@ def events(body: str) -> Iterator[tuple[str, object]]:
                 want = "end"
             else:
                 if (m := _NUMBER.match(body, at)) and m.end() > at:
-                    value = float(m.group()) if m.group(1) or m.group(2) else int(m.group()) if len(m.group()) < 4000 else float(m.group())
+                    value = float(m.group()) if m.group(1) or m.group(2) else int(m.group()) if len(m.group()) < 4000 else Decimal(m.group())
                     at = m.end()
                 else:
                     name = next((w for w in _LITERALS if body.startswith(w, at)), None)

@@ -31,7 +31,7 @@ LEAST_TEXT, TITLE_AS_TEXT, SECTION_TITLE = 25, 120, 140
 
 WALKED = (
     "file_id bigint, guideline_id string, path string, kind string, seq bigint, text string, snippet_type string, section_path array<string>, "
-    "page string, json_pointer string, field_name string, content_index int, fields map<string,string>, list array<string>, number int"
+    "page string, json_pointer string, field_name string, content_index int, fields map<string,string>, list array<string>, number bigint"
 )
 
 
@@ -132,6 +132,7 @@ def walk(value: object, index: int) -> Iterator[tuple]:
 
 
 def _mentions(entries: object) -> Iterator[tuple[str, list[str], int | None, str | None]]:
+    """Symbol, conditions, occurrences (null where they are no integer of 64 bits) and context of each mention."""
     for e in entries if isinstance(entries, list) else ():
         symbol = e.get("Gene") if isinstance(e, dict) else None
         if not isinstance(symbol, str) or not symbol.strip():
@@ -139,7 +140,7 @@ def _mentions(entries: object) -> Iterator[tuple[str, list[str], int | None, str
         named = e.get("Associated Conditions", [])
         conditions = [named] if isinstance(named, str) else [x for x in named if isinstance(x, str)] if isinstance(named, list) else []
         n, context = e.get("Occurrences"), e.get("context")
-        yield symbol.strip().upper(), conditions, int(n) if isinstance(n, int) and abs(n) < 2**31 else None, context if isinstance(context, str) else None
+        yield symbol.strip().upper(), conditions, int(n) if isinstance(n, int) and abs(n) < 2**63 else None, context if isinstance(context, str) else None
 
 
 def walk_body(body: str | None) -> Iterator[dict]:
@@ -195,8 +196,7 @@ def walk_documents(raw: DataFrame) -> DataFrame:
 
 def _frame(rows: list, names: list[str]) -> pd.DataFrame:
     frame = pd.DataFrame(rows, columns=names, dtype=object)
-    for c in ("content_index", "number"):
-        frame[c] = frame[c].astype("Int32")
+    frame["content_index"], frame["number"] = frame["content_index"].astype("Int32"), frame["number"].astype("Int64")
     frame["seq"] = frame["seq"].astype("int64")
     return frame
 
@@ -206,7 +206,7 @@ def documents_table(walked: DataFrame, family: str = "aha") -> DataFrame:
     about = F.col("fields")
     return walked.where(F.col("kind") == "document").select(
         "file_id", "guideline_id", F.lit(family).alias("family"), F.coalesce(about["title"], stem).alias("title"), *(about[c].alias(c) for c in METADATA),
-        F.col("path").alias("source_json_path"), F.col("list").alias("schema_hints"), F.col("number").alias("content_items"), F.col("section_path").alias("top_level_keys"),
+        F.col("path").alias("source_json_path"), F.col("list").alias("schema_hints"), F.col("number").cast("int").alias("content_items"), F.col("section_path").alias("top_level_keys"),
     )
 
 

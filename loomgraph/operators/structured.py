@@ -58,11 +58,13 @@ def own_candidates(mentions: DataFrame) -> DataFrame:
 def predict(snippets: DataFrame, make: Callable[[], Callable[[dict], dict]], names: dict[str, list[str]], mentions: DataFrame) -> DataFrame:
     """Call the predictor on every snippet (cut). ``make`` runs once per worker; a call that fails gives an empty result.
 
-    Offered are the genes that the snippet's own guideline mentions, and of conditions (``names`` and the guideline's
+    A call gets text, section_path, page, guideline_title (null where the column is missing) and the candidates. Offered are the genes that the snippet's own guideline mentions, and of conditions (``names`` and the guideline's
     own), biomarkers and drugs the first OFFERED each.
     """
     heavy = cut(heavy_keys(snippets, "guideline_id", snippets.count()))
-    columns = ("guideline_id", "snippet_id", "seq", "section_path", "page", "text")
+    columns = ("guideline_id", "snippet_id", "seq", "section_path", "page", "text", "guideline_title")
+    if "guideline_title" not in snippets.columns:
+        snippets = snippets.withColumn("guideline_title", F.lit(None).cast("string"))
     rows = lookup_join(snippets.select(*columns), own_candidates(mentions), "guideline_id", heavy)
     offered = {k: sorted(v)[:OFFERED] for k, v in names.items()}
     of = lambda x: [] if x is None else list(x)
@@ -74,7 +76,7 @@ def predict(snippets: DataFrame, make: Callable[[], Callable[[dict], dict]], nam
             for r in batch.to_dict("records"):
                 own = {"genes": sorted(of(r["own_genes"])), "conditions": sorted({*names["conditions"], *of(r["own_conditions"])})[:OFFERED]}
                 try:
-                    got = ask({"text": r["text"], "section_path": r["section_path"], "page": r["page"], "candidates": offered | own}) or {}
+                    got = ask({"text": r["text"], "section_path": r["section_path"], "page": r["page"], "guideline_title": r["guideline_title"], "candidates": offered | own}) or {}
                 except Exception as e:  # noqa: BLE001
                     LOG.warning("prediction failed for %s: %s", r["snippet_id"], e)
                     got = {}

@@ -7,6 +7,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,7 +80,8 @@ def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and go on from the written copy.
 
     Used where rows are read several times or an id must not change when a lost executor's work is redone. The
-    tables of a session lie in one folder, which is removed when the driver ends.
+    tables of a session lie in one folder, which is removed when the driver ends; those written within ``scratch`` are
+    removed with it.
     """
     spark = df.sparkSession
     base = f"{ensure_checkpoint_dir(spark)}/loomgraph-{spark.sparkContext.applicationId}"
@@ -87,10 +90,27 @@ def cut(df: DataFrame) -> DataFrame:
         atexit.register(_remove, spark, base)
     path = f"{base}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _scopes:
+        _scopes[-1].append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
 _made: set[str] = set()
+_scopes: list[list[tuple[SparkSession, str]]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Tables that ``cut`` writes inside are removed at the end. Nothing that reads them may be used afterwards, so
+    results are to be written or collected inside."""
+    tables: list[tuple[SparkSession, str]] = []
+    _scopes.append(tables)
+    try:
+        yield
+    finally:
+        _scopes.pop()
+        for spark, path in tables:
+            _remove(spark, path)
 
 
 def _remove(spark: SparkSession, base: str) -> None:

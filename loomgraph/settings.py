@@ -30,6 +30,7 @@ class Settings:
     chunk_overlap: int = 200
     top_k: int = 5
     extractor: str = "heuristic"
+    backend: str = "files"
     build_index: bool = True
     gene_lexicon: str | None = None
     conditions: tuple[str, ...] = field(default=CONDITIONS)
@@ -60,21 +61,26 @@ def read_profile(path: Path) -> dict:
     return yaml.safe_load(text) or {}
 
 
-def find_root(start: Path | None = None, marker: str = "profiles") -> Path:
-    """The nearest folder, from ``start`` up, that has a ``profiles`` folder; else ``start``."""
-    start = (start or Path.cwd()).resolve()
-    return next((p for p in (start, *start.parents) if (p / marker).is_dir()), start)
+def find_root(start: Path | None = None, env: dict[str, str] | None = None, marker: str = "profiles") -> Path:
+    """The folder that has a ``profiles`` folder: upwards from LOOMGRAPH_ROOT if that is set (which stands even without
+    one), else from ``start``, the working folder or this package; else ``start`` or the working folder."""
+    up = lambda at: next((p for p in (at, *at.parents) if (p / marker).is_dir()), None)
+    named = (dict(os.environ) if env is None else env).get(PREFIX + "ROOT")
+    if named:
+        return up(Path(named).resolve()) or Path(named).resolve()
+    starts = [p.resolve() for p in (start, Path.cwd(), Path(__file__)) if p is not None]
+    return next((found for p in starts if (found := up(p))), starts[0])
 
 
 def load_settings(profile: str | None = None, root: Path | None = None, env: dict[str, str] | None = None, **explicit: Any) -> Settings:
     """Defaults, then profile ``base``, the named profile, variables LOOMGRAPH_<NAME>, and explicit values."""
-    root = find_root(root)
+    env = dict(os.environ) if env is None else env
+    root = find_root(root, env)
     found: dict = {}
     for name in ("base", profile):
         for suffix in (".json", ".yaml"):
             if name:
                 found = deep_merge(found, read_profile(root / "profiles" / f"{name}{suffix}"))
-    env = dict(os.environ) if env is None else env
     known = {f.name: f for f in fields(Settings)}
     for name, f in known.items():
         raw = env.get(PREFIX + name.upper())

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pathlib import PurePosixPath
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,9 +24,11 @@ def read_documents(spark: SparkSession, glob: str, limit: int | None = None) ->
 
 
 def with_sidecars(documents: DataFrame, pdf_folder: str) -> DataFrame:
-    """Documents with source_pdf_path: ``stem.pdf`` anywhere below the folder, else ``stem/stem.pdf``; else null."""
+    """Documents with source_pdf_path: ``stem.pdf`` anywhere below the folder, the first in order of letters; else null.
+
+    The stem is that of the document without a trailing ``_aggregated``.
+    """
     spark = documents.sparkSession
-    stem = lambda c: F.regexp_extract(c, r"([^/]+?)(?:\.[^./]*)?$", 1)
     try:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.pdf").load(pdf_folder)
         files = files.select(F.regexp_replace(F.col("path"), "^file:/+", "/").alias("source_pdf_path"))
@@ -36,8 +36,15 @@ def with_sidecars(documents: DataFrame, pdf_folder: str) -> DataFrame:
         if "PATH_NOT_FOUND" not in str(e):
             raise
         files = spark.createDataFrame([], "source_pdf_path string")
+    return join_sidecars(documents, files)
+
+
+def join_sidecars(documents: DataFrame, files: DataFrame) -> DataFrame:
+    """Documents (path) with the source_pdf_path of the file (source_pdf_path) that has their stem. A null path has none."""
+    stem = lambda c: F.regexp_extract(c, r"([^/]+?)(?:\.[^./]*)?$", 1)
     best = files.groupBy(stem(F.col("source_pdf_path")).alias("stem")).agg(F.min("source_pdf_path").alias("source_pdf_path"))
-    return documents.withColumn("stem", stem(F.col("path"))).join(best, "stem", "left").drop("stem")
+    own = F.regexp_replace(stem(F.col("path")), "_aggregated$", "")
+    return documents.withColumn("stem", own).join(best, "stem", "left").drop("stem")
 
 
 def read_lexicon(spark: SparkSession, path: str | None) -> DataFrame:
@@ -58,7 +65,3 @@ def document_shape(body: str) -> str:
     """SQL for what a body is: ``normalized`` (metadata and snippets among its keys), ``raw`` or ``other``."""
     keys = f"json_object_keys({body})"
     return f"CASE WHEN {keys} IS NULL THEN 'other' WHEN array_contains({keys}, 'metadata') AND array_contains({keys}, 'snippets') THEN 'normalized' ELSE 'raw' END"
-
-
-def stem(path: str) -> str:
-    return PurePosixPath(path).stem
