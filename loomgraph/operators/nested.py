@@ -2,13 +2,14 @@
 
 Each body is read as a stream of events; every scalar becomes a (path, value, ordinal) triple. Triples are grouped by
 the nearest repeated ancestor, the object that a record-like array element or its single stand-in is, and leave
-Python as one row per such object with its own fields. Pivoting a group is then a projection of that map.
+Python as one row per such object with its own fields. Pivoting a group is then a projection of that map. Which
+arrays repeat objects is found in the bodies; only items, sections and genes have a meaning of their own.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from decimal import Decimal
 from json import JSONDecodeError
 from json.decoder import scanstring
@@ -17,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomgraph.session import cut
+
 _SPACE = re.compile(r"[ \t\n\r]*")
 _NUMBER = re.compile(r"-?(?:0|[1-9][0-9]*)(\.[0-9]+)?([eE][-+]?[0-9]+)?")
 #: Literals that a JSON reader in Python takes, with what they are.
@@ -161,52 +164,68 @@ def _text(value: object) -> str | None:
     return {True: "true", False: "false"}[value] if isinstance(value, bool) else str(value)
 
 
-def flatten_body(body: str | None) -> list[tuple[str, str, str, int, dict[str, str | None]]]:
-    """Repeated objects of one body: kind, json_pointer, parent_pointer, ordinal, fields.
+#: Kinds whose objects are told apart by the fixed names; any other object in an array has its array's key as kind.
+NAMED_KINDS = ("document", "item", "section", "gene")
+
+
+def flatten_body(body: str | None) -> list[tuple[str, str, str | None, int, dict[str, str | None]]]:
+    """Repeated objects of one body and its root: kind, json_pointer, parent_pointer, ordinal, fields.
+
+    Repeated is each element of an array that is an object, and the single object in place of such an array of items,
+    sections or genes. Fields are the scalars that have this object as nearest repeated ancestor, by their path below
+    it, so every scalar of the body is in exactly one row. The root is of kind ``document`` with pointer '' and a
+    null parent. The parent of a section or gene is the nearest section, else the item; that of other objects the
+    nearest repeated object, else the root. An object under genes without a name is of kind ``genes``.
 
-    Fields are the scalars that have this object as nearest repeated ancestor, by their path below it. Bodies that
-    are null, no JSON, or no JSON object give nothing. Of a key that is repeated in an object, the last one counts.
+    Bodies that are null, no JSON, or no JSON object give nothing. Of a key that is repeated in an object, the last
+    one counts.
     """
     if body is None:
         return []
-    open_: list[tuple[tuple, str, str, int, dict]] = []
+    open_: list[tuple[tuple, str, str | None, int, dict]] = []
     done: dict[tuple, tuple] = {}
     item: tuple | None = None
     seen: set[tuple] = set()
     named: dict[tuple, bool] = {}  # whether an object's Gene is a non-blank string
     try:
         for path, value, ordinal in triples(body):
-            if not path and value is not dict:
-                return []
-            while open_ and path[: len(open_[-1][0])] != open_[-1][0]:
+            if not path:
+                if value is not dict:
+                    return []
+                done[path] = (path, "document", None, ordinal, {})
+                open_.append(done[path])
+                continue
+            while path[: len(open_[-1][0])] != open_[-1][0]:
                 open_.pop()
             if item is not None and path[: len(item)] != item:
                 item = None
             if path in seen:  # the key again: what its first value brought does not count
                 for p in [p for p in done if p[: len(path)] == path]:
                     del done[p]
-                while open_ and open_[-1][0][: len(path)] == path:
+                while open_[-1][0][: len(path)] == path:
                     open_.pop()
                 if item is not None and item[: len(path)] == path:
                     item = None
-                if open_:
-                    below = pointer(path[len(open_[-1][0]) :])
-                    for k in [k for k in open_[-1][4] if k == below or k.startswith(below + "/")]:
-                        del open_[-1][4][k]
-                    if below == "/Gene":
-                        named.pop(open_[-1][0], None)
+                below = pointer(path[len(open_[-1][0]) :])
+                for k in [k for k in open_[-1][4] if k == below or k.startswith(below + "/")]:
+                    del open_[-1][4][k]
+                if below == "/Gene":
+                    named.pop(open_[-1][0], None)
                 seen = {p for p in seen if p[: len(path)] != path}
             seen.add(path)
             if value is dict:
-                if kind := _kind(path, item):
-                    parent = next((pointer(o[0]) for o in reversed(open_) if o[1] != "gene"), "")
-                    row = (path, kind, "" if kind == "item" else parent, ordinal, {})
+                kind = _kind(path, item)
+                if kind is None and isinstance(path[-1], int):
+                    kind = "/" + next(p for p in reversed(path) if isinstance(p, str))
+                if kind:
+                    up = next((o for o in reversed(open_) if o[1] in ("item", "section")), open_[0]) if kind in NAMED_KINDS else open_[-1]
+                    row = (path, kind, "" if kind == "item" else pointer(up[0]), ordinal, {})
                     open_.append(row)
                     done[path] = row
                     named.pop(path, None)
                     if kind == "item":
                         item = path
-            elif value is not list and open_:
+            elif value is not list:
                 owner = open_[-1][0]
                 open_[-1][4][pointer(path[len(owner) :])] = _text(value)
                 if path == (*owner, "Gene"):
@@ -214,25 +233,32 @@ def flatten_body(body: str | None) -> list[tuple[str, str, str, int, dict[str, s
     except (JSONDecodeError, RecursionError):
         return []
     return [
-        (kind, pointer(path), parent, ordinal, fields)
+        ("/genes" if kind == "gene" and not named.get(path) else kind, pointer(path), parent, ordinal, fields)
         for path, kind, parent, ordinal, fields in done.values()
-        if kind != "gene" or named.get(path)
     ]
 
 
 FLAT = "file_id bigint, kind string, json_pointer string, parent_pointer string, ordinal int, fields map<string,string>"
 
 
-def flatten_bodies(raw: DataFrame) -> DataFrame:
+def flatten_bodies(raw: DataFrame, kinds: Iterable[str] | None = None, fields: bool = True) -> DataFrame:
     """Repeated objects of all bodies, see ``flatten_body``: file_id, kind, json_pointer, parent_pointer, ordinal, fields.
 
-    One pass over the rows without a shuffle; a body's rows are formed while it is read.
+    ``kinds`` names the kinds that are wanted, by default all; without ``fields`` the rows come without them. A kind
+    that is an array's key has a ``/`` before it. One pass over the rows without a shuffle; a body's rows are formed
+    while it is read.
     """
+    wanted = None if kinds is None else frozenset(kinds)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["file_id", "kind", "json_pointer", "parent_pointer", "ordinal", "fields"]
         for batch in batches:
-            rows = [(i, *row) for i, b in zip(batch["file_id"], batch["body"]) for row in flatten_body(b)]
+            rows = [
+                (i, kind, at, parent, ordinal, found if fields else None)
+                for i, b in zip(batch["file_id"], batch["body"])
+                for kind, at, parent, ordinal, found in flatten_body(b)
+                if wanted is None or kind in wanted
+            ]
             if rows:
                 yield pd.DataFrame(rows, columns=names)
 
@@ -243,21 +269,47 @@ def _pick(*names: str) -> Column:
     return F.coalesce(*(F.col("fields")[f"/{n}"] for n in names))
 
 
+KEYS = ("file_id", "json_pointer", "parent_pointer", "ordinal")
+#: Columns of the tables of named kinds, with the fields that they are taken from, the first that is there.
+COLUMNS = {
+    "document": {"title": ("title", "Title", "guideline_title")},
+    "item": {"title": ("title", "Title", "content/title", "content/Title", "content/guideline_title")},
+    "section": {"section": ("Section", "section"), "page": ("Page", "page"), "summary": ("summary",)},
+    "gene": {"gene": ("Gene",), "occurrences": ("Occurrences",), "context": ("context",)},
+}
+
+
+def kind_table(flat: DataFrame, kind: str) -> DataFrame:
+    """The table of one named kind: KEYS, its columns, and all other fields of a row in ``other`` by their path below it."""
+    columns = COLUMNS[kind]
+    known = [f"/{n}" for names in columns.values() for n in names]
+    taken = {c: [f"/{n}" for n in names] for c, names in columns.items()}
+    first = F.array(*(F.coalesce(*(F.when(F.col("fields")[n].isNotNull(), F.lit(n)) for n in names)) for names in taken.values()))
+    other = F.map_filter("fields", lambda k, v: ~k.isin(*known) | ~F.array_contains(F.array_compact(first), k))
+    return flat.where(F.col("kind") == kind).select(*KEYS, *(_pick(*names).alias(c) for c, names in columns.items()), other.alias("other"))
+
+
+def pivot_kind(flat: DataFrame, kind: str, most: int = 100) -> DataFrame:
+    """The table of any kind with a column per field that is found: KEYS, the ``most`` most frequent fields by their
+    path below the object (``.`` for ``/``; without positions in arrays), and the rest in ``other``, so none is lost."""
+    rows = flat.where(F.col("kind") == kind)
+    each = rows.select(F.explode(F.map_keys("fields")).alias("k")).where(~F.col("k").rlike("/[0-9]+(/|$)") & (F.col("k") != "/other"))
+    found = [r.k for r in each.groupBy("k").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "k").limit(most).collect()]
+    names: dict[str, str] = {}  # names that differ in case only stay in other, as do those of the keys
+    for k in found:
+        plain = k[1:].replace("/", ".")
+        if plain.lower() not in {n.lower() for n in (*KEYS, "kind", *names.values())}:
+            names[k] = plain
+    other = F.map_filter("fields", lambda k, v: ~k.isin(*names)) if names else F.col("fields")
+    return rows.select(*KEYS, *(F.col("fields")[k].alias(n) for k, n in names.items()), other.alias("other"))
+
+
 def nested_tables(raw: DataFrame) -> dict[str, DataFrame]:
-    """The flat tables ``items``, ``sections`` and ``genes``, linked by file_id and parent_pointer.
+    """The flat tables ``documents``, ``items``, ``sections``, ``genes``, linked by file_id and parent_pointer, and
+    ``repeated``: the objects of all other arrays with their kind and fields (``pivot_kind`` gives one kind's columns).
 
-    Known fields have columns; all other scalars of an object stay in ``other`` by their path below it.
+    Bodies are read once for all tables.
     """
-    flat = flatten_bodies(raw)
-    keys = ["file_id", "json_pointer", "parent_pointer", "ordinal"]
-
-    def table(kind: str, columns: dict[str, tuple[str, ...]]) -> DataFrame:
-        known = [f"/{n}" for names in columns.values() for n in names]
-        other = F.map_filter("fields", lambda k, v: ~k.isin(*known))
-        return flat.where(F.col("kind") == kind).select(*keys, *(_pick(*names).alias(c) for c, names in columns.items()), other.alias("other"))
-
-    return {
-        "items": table("item", {"title": ("title", "Title", "content/title", "content/Title", "content/guideline_title")}),
-        "sections": table("section", {"section": ("Section", "section"), "page": ("Page", "page"), "summary": ("summary",)}),
-        "genes": table("gene", {"gene": ("Gene",), "occurrences": ("Occurrences",), "context": ("context",)}),
-    }
+    flat = cut(flatten_bodies(raw))
+    tables = {f"{kind}s": kind_table(flat, kind) for kind in NAMED_KINDS}
+    return tables | {"repeated": flat.where(~F.col("kind").isin(*NAMED_KINDS)).select("kind", *KEYS, "fields")}

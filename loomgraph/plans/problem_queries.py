@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loomgraph.operators.nested import flatten_bodies, nested_tables
+from loomgraph.operators.nested import NAMED_KINDS, flatten_bodies, kind_table
 from loomgraph.operators.references import count_orphans, orphan_references
 from loomgraph.operators.schema_drift import consistent_heads, drift_events
 from loomgraph.session import read_table
@@ -29,16 +30,20 @@ def p4_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = flatten_bodies(read_table(spark, sf_dir, "raw_guidelines"))
+    flat = flatten_bodies(read_table(spark, sf_dir, "raw_guidelines"), ("item", "section", "gene"), fields=False)
     return flat.select("file_id", "kind", "json_pointer", "parent_pointer")
 
 
-def p5_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested_tables(read_table(spark, sf_dir, "raw_guidelines"))["sections"]
+def _p5(kind: str):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return kind_table(flatten_bodies(read_table(spark, sf_dir, "raw_guidelines"), (kind,)), kind)
+
+    return query
 
 
-def p5_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested_tables(read_table(spark, sf_dir, "raw_guidelines"))["genes"]
+def p5_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = flatten_bodies(read_table(spark, sf_dir, "raw_guidelines"))
+    return flat.where(~F.col("kind").isin(*NAMED_KINDS)).select("file_id", "kind", "json_pointer", "parent_pointer", "fields")
 
 
 QUERIES = {
@@ -47,8 +52,11 @@ QUERIES = {
     "p4_found": p4_found,
     "p4_heads": p4_heads,
     "p5_found": p5_found,
-    "p5_sections": p5_sections,
-    "p5_genes": p5_genes,
+    "p5_documents": _p5("document"),
+    "p5_items": _p5("item"),
+    "p5_sections": _p5("section"),
+    "p5_genes": _p5("gene"),
+    "p5_repeated": p5_repeated,
 }
 
 _P2 = """
