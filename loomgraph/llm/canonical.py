@@ -1,13 +1,14 @@
 """Mapping free-entered values to a canonical list (problem 3).
 
-Values are deduplicated, normalised, and looked up in an inverted index of the list's character n-grams. Candidates
-are scored by the cosine of n-gram vectors weighted by rarity in the list, and are accepted above a threshold and by
-a margin over the next entry. A check by the letter (one slip of the pen at most, same number for genes) follows, as
+Values are deduplicated, normalised, and looked up in an inverted index of the list's character n-grams, by those
+n-grams alone without which the threshold cannot be reached. Candidates are scored by the cosine of n-gram vectors
+weighted by rarity in the list, and are accepted above a threshold and by a margin over the next entry. A check by the letter (one slip of the pen at most, same number for genes) follows, as
 entries that share most of their words are different entries.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 
@@ -18,13 +19,12 @@ from pyspark.sql import functions as F
 from loomgraph.operators.skew import HEAVY_PARTS, lookup_join
 from loomgraph.session import cut
 
-#: A candidate's least cosine, and its least lead in score over the next entry.
-THRESHOLD = 0.25
+#: A candidate's least cosine, and its least lead in score over the next entry. One slip in a symbol of five signs
+#: leaves a cosine of about 0.42, in a longer name more; what shares less is no candidate.
+THRESHOLD = 0.4
 MARGIN = 0.02
-#: Up to this many list entries (n-gram rows: about 40 times as many) the index is broadcast; beyond, it is shuffled.
-BROADCAST_ENTRIES = 20_000
 
-#: Fixed words around a name that do not belong to it, by kind.
+#: Fixed words around a name that do not belong to it, by kind. They are those of clinical notes and suit lists of that kind.
 BEFORE = {
     "condition": ("known", "suspected", "probable", "possible", "hx of", "history of", "pt with", "patient with", "h/o", "s/p"),
     "drug": ("oral", "inj", "iv", "po", "tab", "cap", "injection", "tablet", "capsule", "topical"),
@@ -164,11 +164,24 @@ def _likeness(form: Column, entry: Column, kind: Column, alias: Column) -> Colum
     return run(form, entry, kind, alias)
 
 
+def _suffix(of: list[str], measure: Column, bound: Column) -> Column:
+    """Whether a gram is among the commonest ones of its text that together stay below ``bound``."""
+    common_first = Window.partitionBy(*of).orderBy(F.col("df").desc(), F.col("gram").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return F.sum(measure).over(common_first) < bound
+
+
 def match_values(values: DataFrame, terms: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
     """(kind, value) -> kind, value, term_id, score for values that have an entry; others are left out.
 
     ``values`` holds distinct pairs. Names of the list are its terms and aliases; of entries that are alike in form
     (repeated rows) the smallest term_id stands. A value whose two best entries are closer than ``margin`` has none.
+
+    Only pairs that can reach ``threshold`` meet, by an exact bound. With D the squared weights of the shared grams, e
+    the length of the entry, n the grams of the form, s the shared ones and r the weight of a gram that the list
+    lacks, the cosine is D / (e sqrt(D + (n - s) r^2 / 2)). From it follow D >= t^2 e^2 and, as D <= e^2,
+    D + c s >= c n with c = t^2 r^2 / (2 - 2 t^2). So the rarest gram that both share lies neither among the commonest
+    grams of the entry with less than t^2 e^2 in all, nor among those of the form with less than c n in all (each
+    counting c more). The index holds, and is asked for, the other grams alone.
     """
     named = terms.where(F.col("kind").isin("gene", "condition", "drug")).select(
         "term_id",
@@ -182,33 +195,42 @@ def match_values(values: DataFrame, terms: DataFrame, threshold: float = THRESHO
     ).where(F.col("n.name").isNotNull())
     entries = named.withColumn("entry", _forms(F.col("n.name"), F.col("kind"))[0]).where(F.col("entry").isNotNull())
     entries = cut(entries.groupBy("kind", "entry").agg(F.min(F.struct(F.col("n.alias").alias("alias"), "term_id")).alias("m")).select("kind", "entry", "m.alias", "m.term_id"))
-    n_entries = entries.count()
+    rare = math.log(1 + entries.count())  # the weight of an n-gram that the list lacks
+    least = threshold * threshold
+    extra = least * rare * rare / (2 - 2 * least)
 
-    postings = entries.select("kind", "entry", "alias", "term_id", F.explode(grams(F.col("entry"))).alias("gram"))
+    postings = entries.select("kind", "entry", F.explode(grams(F.col("entry"))).alias("gram"))
     df = postings.groupBy("kind", "gram").agg(F.count(F.lit(1)).alias("df"))
-    index = postings.join(df, ["kind", "gram"]).withColumn("w", F.log(1 + F.lit(float(n_entries)) / F.col("df")))
-    norms = index.groupBy("kind", "entry").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("entry_norm"))
-    index = cut(index.join(norms, ["kind", "entry"]).select("kind", "gram", "entry", "alias", "term_id", "w", "entry_norm"))
-    small = F.broadcast if n_entries <= BROADCAST_ENTRIES else (lambda d: d)
-
-    # few bytes but much work: kept apart, as adaptive execution would put them together; the later groups fit this split
+    square = F.pow(F.log(1 + F.lit(float(math.expm1(rare))) / F.col("df")), 2)
+    weights = cut(df.withColumn("w2", square))
+    index = postings.join(weights, ["kind", "gram"])
+    vectors = index.groupBy("kind", "entry").agg(F.sum("w2").alias("e2"), F.collect_list(F.struct("gram", "w2")).alias("grams"))
+    vectors = cut(entries.join(vectors, ["kind", "entry"]))
+    of_entry = index.join(vectors.select("kind", "entry", "e2"), ["kind", "entry"])
+    kept = of_entry.withColumn("cut", _suffix(["kind", "entry"], F.col("w2"), F.col("e2") * (least * (1 - 1e-9)))).where(~F.col("cut")).select("kind", "gram", "entry")
+
+    # few bytes but much work: kept apart, as adaptive execution would put them together
     parts = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    forms = values.repartition(parts, "kind", "value").select("kind", "value", F.explode(_forms(F.col("value"), F.col("kind"))).alias("form"))
-    looked = forms.withColumn("key", F.when(F.col("kind") == "gene", F.translate("form", "0124568", "OIZASGB")).otherwise(F.regexp_replace("form", "[.]", "")))
+    forms = cut(values.repartition(parts, "kind", "value").select("kind", "value", F.explode(_forms(F.col("value"), F.col("kind"))).alias("form")))
+    looked = forms.select("kind", "form").distinct()
+    key = F.when(F.col("kind") == "gene", F.translate("form", "0124568", "OIZASGB")).otherwise(F.regexp_replace("form", "[.]", ""))
     # a gene's number is looked up as it is, too: both readings share the vector of the form
-    bag = F.when(F.col("kind") == "gene", F.array_union(grams(F.col("form")), grams(F.col("key")))).otherwise(grams(F.col("key")))
-    asked = looked.select("kind", "value", "form", F.size(bag).alias("n_grams"), F.explode(bag).alias("gram"))
-    # n-grams that the list lacks have the weight of the rarest
-    rare = F.log(1 + F.lit(float(n_entries)))
-    met = asked.join(small(index), ["kind", "gram"])
-    scored = met.groupBy("kind", "value", "form", "entry", "alias", "term_id", "entry_norm", "n_grams").agg(
-        F.sum(F.col("w") * F.col("w")).alias("dot"), F.count(F.lit(1)).alias("shared")
-    )
-    form_norm = F.sqrt(F.col("dot") + (F.col("n_grams") - F.col("shared")) * rare * rare * 0.5)
-    scored = scored.withColumn("cosine", F.col("dot") / (F.col("entry_norm") * form_norm)).where(F.col("cosine") >= threshold)
+    bag = F.when(F.col("kind") == "gene", F.array_union(grams(F.col("form")), grams(key))).otherwise(grams(key))
+    bags = cut(looked.withColumn("bag", bag).repartition(parts, "kind", "form"))
+    asked = bags.select("kind", "form", F.size("bag").alias("n_grams"), F.explode("bag").alias("gram")).join(weights, ["kind", "gram"])
+    asked = asked.withColumn("cut", _suffix(["kind", "form"], F.col("w2") + F.lit(extra), F.col("n_grams") * F.lit(extra * (1 - 1e-9)))).where(~F.col("cut"))
+    met = asked.select("kind", "form", "gram").join(kept, ["kind", "gram"]).select("kind", "form", "entry").distinct()
+
+    pairs = met.repartition(parts, "kind", "form", "entry").join(bags, ["kind", "form"]).join(vectors, ["kind", "entry"])
+    shared = F.filter("grams", lambda g: F.array_contains(F.col("bag"), g["gram"]))
+    pairs = pairs.select("kind", "form", "entry", "alias", "term_id", "e2", F.size("bag").alias("n_grams"), shared.alias("shared"))
+    dot = F.aggregate("shared", F.lit(0.0), lambda t, g: t + g["w2"])
+    scored = pairs.withColumn("dot", dot).withColumn("f2", F.col("dot") + (F.col("n_grams") - F.size("shared")) * F.lit(rare * rare * 0.5))
+    scored = scored.withColumn("cosine", F.col("dot") / F.sqrt(F.col("e2") * F.col("f2"))).where(F.col("cosine") >= threshold)
     judged = scored.withColumn("like", _likeness(F.col("form"), F.col("entry"), F.col("kind"), F.col("alias"))).where(F.col("like") > 0)
-    best_form = judged.groupBy("kind", "value", "term_id").agg(F.max(F.col("like") + F.col("cosine")).alias("score"))
-    ranked = Window.partitionBy("kind", "value").orderBy(F.desc("score"), "term_id")  # at most the entries of one kind
+    judged = judged.select("kind", "form", "term_id", (F.col("like") + F.col("cosine")).alias("score"))
+    best_form = forms.join(judged, ["kind", "form"]).groupBy("kind", "value", "term_id").agg(F.max("score").alias("score"))
+    ranked = Window.partitionBy("kind", "value").orderBy(F.desc("score"), "term_id")  # at most the entries that one slip makes
     top = best_form.withColumn("next", F.lead("score").over(ranked)).withColumn("rank", F.row_number().over(ranked))
     sure = top.where((F.col("rank") == 1) & (F.col("next").isNull() | (F.col("score") - F.col("next") >= margin)))
     return sure.select("kind", "value", "term_id", "score")

@@ -1,4 +1,8 @@
-from loomgraph.llm.canonical import likeness, map_values, normal_forms
+import math
+import random
+from collections import Counter
+
+from loomgraph.llm.canonical import MARGIN, THRESHOLD, likeness, map_values, match_values, normal_forms
 
 TERMS = [
     (1, None, "gene", "KIQPC3", ["DBAZ4"]), (2, None, "gene", "KIQPC5", []), (3, None, "condition", "venous spasm", ["VSP"]), (4, None, "condition", "acquired venous overload", None),
@@ -47,3 +51,43 @@ def test_likeness():
     assert likeness("ABCD2", "ABCD1", "gene", False) == 0 and likeness("ABC5D1", "ABCSD1", "gene", False) == 2
     assert likeness("venous spasm", "aortic spasm", "condition", False) == 0
     assert normal_forms("", "gene") == [] and normal_forms("x" * 10_000, "drug")[0] == "x" * 10_000
+
+
+def test_a_long_list_against_brute_force(spark):
+    """30,000 entries; every value against every entry by the formula, without the index and its bound."""
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choice("aeioubdklmnrst") for _ in range(n))
+    names = sorted({f"{word(5)} {word(rng.randrange(5, 9))}" for _ in range(30_000)})
+    terms = spark.createDataFrame([(i, None, "condition", n, []) for i, n in enumerate(names)], SCHEMA)
+    asked = []
+    for n in rng.sample(names, 12):
+        k = rng.randrange(1, len(n) - 1)
+        asked += [n.upper(), n[:k] + n[k + 1 :], n[:k] + "z" + n[k + 1 :], n.split(" ")[0]]
+    asked = sorted(set(asked))
+
+    def bag(t):
+        t = f"^{t}$"
+        return {t[i : i + 2] for i in range(len(t) - 1)} | {t[i : i + 3] for i in range(len(t) - 2)}
+
+    bags = [bag(n) for n in names]
+    df = Counter(g for b in bags for g in b)
+    w2 = {g: math.log(1 + len(names) / n) ** 2 for g, n in df.items()}
+    norms = [sum(w2[g] for g in b) for b in bags]
+    rare = math.log(1 + len(names)) ** 2
+    want = {}
+    for v in asked:
+        scores = []
+        for form in normal_forms(v, "condition"):
+            own = bag(form)
+            for i, b in enumerate(bags):
+                both = own & b
+                dot = sum(w2[g] for g in both)
+                cosine = dot / math.sqrt(norms[i] * (dot + (len(own) - len(both)) * rare / 2))
+                if cosine >= THRESHOLD and (like := likeness(form, names[i], "condition", False)):
+                    scores.append((like + cosine, -i))
+        scores.sort(reverse=True)
+        if scores and (len(scores) == 1 or scores[0][0] - scores[1][0] >= MARGIN):
+            want[v] = (-scores[0][1], round(scores[0][0], 6))
+    values = spark.createDataFrame([("condition", v) for v in asked], "kind string, value string")
+    got = {r.value: (r.term_id, round(r.score, 6)) for r in match_values(values, terms).collect()}
+    assert got == want and len(want) >= 30
