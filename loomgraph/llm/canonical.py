@@ -199,9 +199,11 @@ def match_values(values: DataFrame, terms: DataFrame, threshold: float = THRESHO
     least = threshold * threshold
     extra = least * rare * rare / (2 - 2 * least)
 
-    postings = entries.select("kind", "entry", F.explode(grams(F.col("entry"))).alias("gram"))
+    # n-grams go by a hash of 64 bits
+    codes = lambda c: F.transform(grams(c), lambda g: F.xxhash64(g))
+    postings = entries.select("kind", "entry", F.explode(codes(F.col("entry"))).alias("gram"))
     df = postings.groupBy("kind", "gram").agg(F.count(F.lit(1)).alias("df"))
-    square = F.pow(F.log(1 + F.lit(float(math.expm1(rare))) / F.col("df")), 2)
+    square = F.pow(F.log(1 + F.lit(math.expm1(rare)) / F.col("df")), 2)
     weights = cut(df.withColumn("w2", square))
     index = postings.join(weights, ["kind", "gram"])
     vectors = index.groupBy("kind", "entry").agg(F.sum("w2").alias("e2"), F.collect_list(F.struct("gram", "w2")).alias("grams"))
@@ -212,21 +214,22 @@ def match_values(values: DataFrame, terms: DataFrame, threshold: float = THRESHO
     # few bytes but much work: kept apart, as adaptive execution would put them together
     parts = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     forms = cut(values.repartition(parts, "kind", "value").select("kind", "value", F.explode(_forms(F.col("value"), F.col("kind"))).alias("form")))
-    looked = forms.select("kind", "form").distinct()
     key = F.when(F.col("kind") == "gene", F.translate("form", "0124568", "OIZASGB")).otherwise(F.regexp_replace("form", "[.]", ""))
     # a gene's number is looked up as it is, too: both readings share the vector of the form
-    bag = F.when(F.col("kind") == "gene", F.array_union(grams(F.col("form")), grams(key))).otherwise(grams(key))
-    bags = cut(looked.withColumn("bag", bag).repartition(parts, "kind", "form"))
+    bag = F.when(F.col("kind") == "gene", F.array_union(codes(F.col("form")), codes(key))).otherwise(codes(key))
+    bags = cut(forms.select("kind", "form").distinct().withColumn("bag", bag))
     asked = bags.select("kind", "form", F.size("bag").alias("n_grams"), F.explode("bag").alias("gram")).join(weights, ["kind", "gram"])
     asked = asked.withColumn("cut", _suffix(["kind", "form"], F.col("w2") + F.lit(extra), F.col("n_grams") * F.lit(extra * (1 - 1e-9)))).where(~F.col("cut"))
-    met = asked.select("kind", "form", "gram").join(kept, ["kind", "gram"]).select("kind", "form", "entry").distinct()
-
-    pairs = met.repartition(parts, "kind", "form", "entry").join(bags, ["kind", "form"]).join(vectors, ["kind", "entry"])
-    shared = F.filter("grams", lambda g: F.array_contains(F.col("bag"), g["gram"]))
-    pairs = pairs.select("kind", "form", "entry", "alias", "term_id", "e2", F.size("bag").alias("n_grams"), shared.alias("shared"))
-    dot = F.aggregate("shared", F.lit(0.0), lambda t, g: t + g["w2"])
-    scored = pairs.withColumn("dot", dot).withColumn("f2", F.col("dot") + (F.col("n_grams") - F.size("shared")) * F.lit(rare * rare * 0.5))
-    scored = scored.withColumn("cosine", F.col("dot") / F.sqrt(F.col("e2") * F.col("f2"))).where(F.col("cosine") >= threshold)
+    met = asked.select("kind", "form", "gram").join(kept, ["kind", "gram"]).select("kind", "form", "entry").repartition(parts, "kind", "form").distinct()
+
+    pairs = met.join(bags, ["kind", "form"]).join(vectors, ["kind", "entry"])
+    start = F.struct(F.lit(0.0).alias("dot"), F.lit(0).alias("n"))
+    step = lambda t, g: F.when(F.array_contains(F.col("bag"), g["gram"]), F.struct((t["dot"] + g["w2"]).alias("dot"), (t["n"] + 1).alias("n"))).otherwise(t)
+    # exploding the one sum keeps the optimizer from computing it anew in each place where it is used
+    summed = F.explode(F.array(F.aggregate("grams", start, step))).alias("both")
+    scored = pairs.select("kind", "form", "entry", "alias", "term_id", "e2", F.size("bag").alias("n_grams"), summed)
+    f2 = F.col("both.dot") + (F.col("n_grams") - F.col("both.n")) * F.lit(rare * rare * 0.5)
+    scored = scored.withColumn("cosine", F.col("both.dot") / F.sqrt(F.col("e2") * f2)).where(F.col("cosine") >= threshold)
     judged = scored.withColumn("like", _likeness(F.col("form"), F.col("entry"), F.col("kind"), F.col("alias"))).where(F.col("like") > 0)
     judged = judged.select("kind", "form", "term_id", (F.col("like") + F.col("cosine")).alias("score"))
     best_form = forms.join(judged, ["kind", "form"]).groupBy("kind", "value", "term_id").agg(F.max("score").alias("score"))
