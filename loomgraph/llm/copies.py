@@ -100,7 +100,7 @@ def snippet_values(snippets: DataFrame) -> DataFrame:
 def mention_values(mentions: DataFrame) -> DataFrame:
     """(row_id, dg) of the mentions with a symbol: its symbol, conditions, context, numbers and guideline.
 
-    Null and empty are different values: a null array from an empty one, a null element from a blank one, a null
+    A symbol of signs that do not count, such as ``-`` or ``?``, is neither null nor blank: all such are alike. Null and empty are different values: a null array from an empty one, a null element from a blank one, a null
     context from a blank one. The order of the conditions does not count, their number does.
     """
     symbol = value_digests("symbol", F.col("gene_symbol"))
@@ -113,13 +113,14 @@ def mention_values(mentions: DataFrame) -> DataFrame:
         symbol.alias("symbol"),
         context.alias("context"),
         "associated_conditions",
+        F.col("gene_symbol").rlike(r"(?U)[^\s\p{Z}\p{C}]").alias("shown"),
         exact_digest("where", F.concat(where, F.lit("/"), F.coalesce(F.concat(F.lit("="), F.col("guideline_id")), F.lit("null")))).alias("place"),
-    ).where(F.size("symbol") > 0)
+    ).where(F.col("shown"))
     fixed = base.select(
         "row_id",
         F.explode(
             F.concat(
-                "symbol",
+                F.when(F.size("symbol") == 0, F.array(mark("no sign in symbol"))).otherwise(F.col("symbol")),
                 F.when(F.col("context").isNull(), F.array(mark("no context"))).otherwise(F.col("context")),
                 F.array("place"),
                 F.when(F.col("associated_conditions").isNull(), F.array(mark("no conditions"))).otherwise(F.array().cast("array<binary>")),
@@ -167,7 +168,7 @@ def copies_found(keyed: DataFrame, parts: int = HEAVY_PARTS) -> DataFrame:
 def collapsed(snippets: DataFrame, mentions: DataFrame) -> DataFrame:
     """Each record once with its number of copies: tbl, row_id (the smallest of the group), n_copies.
 
-    Rows without comparable content (null, empty or blank text, null or blank symbol) stay, each with one copy.
+    Rows without comparable content (null, empty or blank text or one without signs that count, null or blank symbol) stay, each with one copy.
     Empty tables give an empty result; columns that are not compared are ignored.
     """
     keyed = keyed_records(snippets, mentions)

@@ -38,6 +38,11 @@ def test_groups(spark):
     assert {(r.tbl, r.row_id): r.n_copies for r in both}["snippets", 2] == 3
 
 
+def test_symbols_without_signs_that_count(spark):
+    m = [(i, "g", x, None, 1, None, 0, None) for i, x in enumerate(["?", "-", " - ", "", "  ", "\u200b", None, "A"])]
+    assert found(spark, [], m) == [("gene_mentions", 0, 1), ("gene_mentions", 0, 2)]
+
+
 def test_a_hot_group_and_empty_tables(spark):
     s = [(i, "Same. Text" if i % 3 == 0 else f"other {i}", "text", None) for i in range(300)]
     got = found(spark, s, [], parts=50)
