@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomgraph.llm.abuse import rates_by_source, score_documents
@@ -23,6 +23,18 @@ def p1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_snippets(read_table(spark, sf_dir, "snippets"))
 
 
+def p1_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each snippet what its pieces come to: their number, longest, overlaps, and whether they give back the text."""
+    p = p1_pieces(spark, sf_dir).where(F.col("text").isNotNull())
+    after = Window.partitionBy("row_id").orderBy("piece")
+    overlap = F.lag("end_at").over(after) - F.col("start_at")
+    rows = p.withColumn("overlap", overlap).withColumn("own", F.expr("substring(text, 1 + coalesce(overlap, 0))"))
+    merged = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("piece", "own"))), lambda x: x["own"]), "")
+    return rows.groupBy("row_id").agg(
+        F.md5(merged).alias("text_md5"), (F.max(F.length("text")) <= 1600).alias("within"), F.coalesce(F.min("overlap"), F.lit(200)).alias("least"), F.coalesce(F.max("overlap"), F.lit(200)).alias("most")
+    )
+
+
 def _mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_values(*(read_table(spark, sf_dir, t) for t in ("gene_mentions", "llm_extractions", "terms")))
 
@@ -77,6 +89,7 @@ def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_pieces": p1_pieces,
+    "p1_checked": p1_checked,
     "p3_found": p3_found,
     "p3_unmatched": p3_unmatched,
     "p6_found": p6_found,
@@ -89,6 +102,23 @@ QUERIES = {
     "p9_rates": p9_rates,
 }
 
+# a point between two digits is kept as another sign; the pattern takes no overlapping pairs, so it is applied twice
+_POINTS = r"regexp_replace(regexp_replace(lower({}), '([0-9])\.([0-9])', '\1∙\2', 'g'), '([0-9])\.([0-9])', '\1∙\2', 'g')"
+_FORM = lambda c: r"regexp_replace(" + _POINTS.format(c) + r", '[\p{Z}\p{C}\p{P}\s]', '', 'g')"
+_COPIES = f"""WITH st AS (SELECT row_id, CASE WHEN coalesce(snippet_type = 'record', false)
+    THEN 'r' || nullif(array_to_string(list_sort(list_filter(list_transform(regexp_split_to_array(text, '[;|\n]'), lambda x: {_FORM('x')}), lambda x: x <> '')), ';'), '')
+    ELSE 't' || nullif({_FORM('text')}, '') END AS k FROM snippets),
+  sn AS (SELECT 'snippets' AS tbl, min(row_id) OVER (PARTITION BY k) AS first_row_id, row_id FROM st WHERE k IS NOT NULL),
+  mt AS (SELECT row_id, guideline_id, occurrences, content_index, {_FORM('gene_symbol')} AS s, {_FORM('context')} AS c,
+    list_sort(list_transform(associated_conditions, lambda x: coalesce('=' || {_FORM('x')}, '~'))) AS a FROM gene_mentions WHERE regexp_matches(gene_symbol, '[^\s\p{{Z}}\p{{C}}]')),
+  mn AS (SELECT 'gene_mentions' AS tbl, min(row_id) OVER (PARTITION BY guideline_id, occurrences, content_index, s, c, a) AS first_row_id, row_id FROM mt)"""
+
 ORACLES = {
     "p1_found": "SELECT row_id FROM snippets WHERE length(text) > 1600",
+    "p1_checked": "SELECT row_id, md5(text) AS text_md5, true AS within, 200 AS least, 200 AS most FROM snippets WHERE text IS NOT NULL",
+    "p6_found": _COPIES + " SELECT tbl, first_row_id, row_id FROM sn WHERE first_row_id < row_id UNION ALL SELECT tbl, first_row_id, row_id FROM mn WHERE first_row_id < row_id",
+    "p6_collapsed": _COPIES
+    + """ SELECT tbl, first_row_id AS row_id, count(*) AS n_copies FROM (SELECT * FROM sn UNION ALL SELECT * FROM mn) GROUP BY ALL
+      UNION ALL SELECT 'snippets', row_id, 1 FROM snippets WHERE row_id NOT IN (SELECT row_id FROM sn)
+      UNION ALL SELECT 'gene_mentions', row_id, 1 FROM gene_mentions WHERE row_id NOT IN (SELECT row_id FROM mn)""",
 }

@@ -66,19 +66,24 @@ def valley_depths(text: str, gaps: list[int], block: int = BLOCK) -> list[float]
     return [up_left[i] + up_right[i] - 2 * sims[i] for i in range(n)]
 
 
-def _last_resort(text: str, low: int, high: int) -> tuple[int, str]:
-    """The last white space in (low, high], else ``high``, moved back off combining marks and joiners."""
-    ends = [m.end() for m in _SPACE.finditer(text, low, high) if m.end() > low]
-    if ends:
-        return ends[-1], "space"
-    at = high
-    while at > low + 1 and (unicodedata.combining(text[at]) or text[at] in "‍️" or text[at - 1] == "‍"):
-        at -= 1
-    return (at if at > low + 1 else high), "none"
+def _between_signs(text: str, at: int) -> bool:
+    """Whether a cut at this place leaves letters with their combining marks, and joined signs together."""
+    return not (0 < at < len(text)) or not (unicodedata.combining(text[at]) or text[at] in "\u200d\ufe0f" or text[at - 1] == "\u200d")
+
+
+def _last_resort(text: str, low: int, high: int, overlap: int) -> tuple[int, str]:
+    """The last white space in (low, high], else the last place between signs; both for this end and for the start of
+    the next piece. Where there is no such place, ``high``."""
+    fits = lambda at: _between_signs(text, at) and _between_signs(text, at - overlap)
+    for m in _SPACE.finditer(text[low:high][::-1]):
+        if low < (end := high - m.start()) and fits(end):
+            return end, "space"
+    return next((at for at in range(high, low, -1) if fits(at)), high), "none"
 
 
 def split_text(text: str, limit: int = LIMIT, overlap: int = OVERLAP, block: int = BLOCK) -> list[tuple[int, int, str]]:
-    """Pieces as (start, end, boundary at the end); boundary is ``topic``, ``space``, ``none`` or ``end``.
+    """Pieces as (start, end, boundary at the end); boundary is ``topic`` (a valley between sentences), ``sentence`` (a
+    gap that is no valley), ``space``, ``none`` or ``end``.
 
     Every piece has at most ``limit`` characters; each but the first starts ``overlap`` characters before the end of
     the one before; without the overlaps the pieces give back the text. A text within the limit is one piece.
@@ -100,12 +105,13 @@ def split_text(text: str, limit: int = LIMIT, overlap: int = OVERLAP, block: int
             inside.append(k)
             k += 1
         half = done + (high - done) // 2
+        inside = [i for i in inside if _between_signs(text, gaps[i] - overlap)]
         late = [i for i in inside if gaps[i] > half] or inside
         if late:
             best = max(late, key=lambda i: (round(depths[i], 9), gaps[i]))
-            end, kind = gaps[best], "topic"
+            end, kind = gaps[best], "topic" if round(depths[best], 9) > 0 else "sentence"
         else:
-            end, kind = _last_resort(text, low, high)
+            end, kind = _last_resort(text, low, high, overlap)
         pieces.append((start, end, kind))
         done, start = end, end - overlap
     pieces.append((start, n, "end"))

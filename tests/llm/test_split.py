@@ -15,7 +15,7 @@ def test_pieces_give_back_the_text(text, limit, overlap):
     assert pieces[0][0] == 0 and pieces[-1][1] == len(text)
     back = text[: pieces[0][1]]
     for (a, b, _), (c, d, _) in zip(pieces, pieces[1:]):
-        assert c == max(0, b - overlap) or c == b
+        assert c == b - overlap
         back += text[b:d]
     assert back == text and all(b - a <= limit for a, b, _ in pieces)
     assert (len(pieces) == 1) == (len(text) <= limit)
@@ -53,6 +53,16 @@ def test_overlap_stays_after_a_short_heading():
     assert all(b - a <= 1600 for a, b, _ in pieces) and pieces[0][0] == 0 and pieces[-1][1] == len(text)
 
 
+def test_boundaries_are_named_for_what_they_are():
+    same = "The same words stand here again. " * 200
+    assert {kind for *_, kind in split_text(same)} == {"sentence", "end"}
+    accents = "e\u0301" * 3000
+    pieces = split_text(accents, 1601, 201)
+    assert all(b - a <= 1601 for a, b, _ in pieces) and all(c == b - 201 for (_, b, _), (c, _, _) in zip(pieces, pieces[1:]))
+    even = split_text(accents, 1600, 200)
+    assert all(accents[a] == "e" and (b == len(accents) or accents[b] == "e") for a, b, _ in even)
+
+
 def test_a_giant_text_without_boundaries():
     pieces = split_text("x" * 1_000_000)
     assert all(kind in ("none", "end") for _, _, kind in pieces) and pieces[-1][1] == 1_000_000
