@@ -9,14 +9,15 @@ from loomgraph.functions import ids
 from loomgraph.functions.text import evidence_class, evidence_level, is_against, is_recommendation, json_value, split_sentences, tokens
 from loomgraph.operators import extract
 from loomgraph.operators.chunk import chunk_snippets
-from loomgraph.operators.graph import GraphStore, current_edges, current_nodes, first_wins, merge_edges, merge_nodes
-from loomgraph.operators.normalize import merge_mentions, normalize
+from loomgraph.operators.graph import EDGE_SCHEMA, NODE_SCHEMA, GraphStore, current_edges, current_nodes, first_wins, merge_edges, merge_nodes
+from loomgraph.operators.normalize import documents_table, mentions_table, merge_mentions, normalize, rejected_table, snippets_table, walk_documents
 from loomgraph.operators.retrieval import GeneContext, rerank, resolve_exact, resolve_fuzzy, text_of
 from loomgraph.operators.structured import LISTS, candidate_snippets, prediction_edges
 from loomgraph.operators.terms import match_terms
 from loomgraph.operators.tfidf import TfidfIndex
 from loomgraph.session import cut, read_table
-from loomgraph.sources.documents import document_shape
+from loomgraph.sources import manifest
+from loomgraph.sources.documents import document_shape, join_sidecars
 
 #: Parameters of the queries.
 GENE = "FTMWD4"
@@ -91,34 +92,32 @@ def json_scan(spark, d):
 
 
 def sidecar_join(spark, d):
-    g = read_table(spark, d, "guidelines")
-    pdfs = g.where(F.col("source_pdf_path").isNotNull()).select(F.regexp_extract("source_pdf_path", r"([^/]+)\.pdf$", 1).alias("stem"), "source_pdf_path")
-    best = pdfs.groupBy("stem").agg(F.min("source_pdf_path").alias("pdf"))
-    r = read_table(spark, d, "raw_guidelines").withColumn("stem", ids.doc_id(F.col("source_json_path")))
-    return r.join(best, "stem", "left").select("file_id", "pdf")
+    files = read_table(spark, d, "guidelines").where(F.col("source_pdf_path").isNotNull()).select("source_pdf_path")
+    raw = read_table(spark, d, "raw_guidelines").select("file_id", F.col("source_json_path").alias("path"))
+    return join_sidecars(raw, files).select("file_id", F.col("source_pdf_path").alias("pdf"))
 
 
 # --- normalization
 
 
 def normalized_documents(spark, d):
-    return normalize(raw_of(spark, d))["documents"]
+    return documents_table(walk_documents(raw_of(spark, d)))
 
 
 def normalized_snippets(spark, d):
-    return normalize(raw_of(spark, d))["snippets"]
+    return snippets_table(walk_documents(raw_of(spark, d)))
 
 
 def normalized_mentions(spark, d):
-    return normalize(raw_of(spark, d))["gene_mentions"]
+    return mentions_table(cut(walk_documents(raw_of(spark, d))))
 
 
 def rejected_documents(spark, d):
-    return normalize(raw_of(spark, d))["rejected"]
+    return rejected_table(walk_documents(raw_of(spark, d)))
 
 
 def schema_hints(spark, d):
-    docs = normalize(raw_of(spark, d))["documents"]
+    docs = documents_table(walk_documents(raw_of(spark, d)))
     return docs.select("file_id", F.array_join("schema_hints", "|").alias("hints"))
 
 
@@ -162,11 +161,6 @@ def _document_texts(spark, d):
     return read_table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("snippet_id"), "guideline_id", "text")
 
 
-def document_term_matches(spark, d):
-    """Drugs only, as its SQL has it; ``document_all_term_matches`` has every kind."""
-    return match_terms(_document_texts(spark, d), read_table(spark, d, "terms").where(F.col("kind") == "drug"))
-
-
 def document_all_term_matches(spark, d):
     return match_terms(_document_texts(spark, d), read_table(spark, d, "terms"))
 
@@ -227,6 +221,11 @@ def built_edges(spark, d):
     return _built(spark, d).edges
 
 
+def built_edge_ids(spark, d):
+    """The edges of ``built_edges`` without their properties."""
+    return _edges(built_edges(spark, d))
+
+
 # --- predictions
 
 
@@ -264,9 +263,8 @@ def edge_first(spark, d):
 def checked_edges(spark, d):
     """Edges whose two ends exist, as a database with matching endpoints keeps them."""
     g = graph_of(spark, d)
-    live = cut(g.nodes.select("node_id"))
-    e = g.edges.join(live.withColumnRenamed("node_id", "source_id"), "source_id", "left_semi").join(live.withColumnRenamed("node_id", "target_id"), "target_id", "left_semi")
-    return e.select("edge_id")
+    empty = GraphStore(spark.createDataFrame([], NODE_SCHEMA), spark.createDataFrame([], EDGE_SCHEMA))
+    return empty.upsert(cut(g.nodes), g.edges, require_endpoints=True).edges.select("edge_id")
 
 
 def label_scan(spark, d):
@@ -340,8 +338,20 @@ def gene_conditions(spark, d):
     return _context(spark, d).related("Condition").select("name", "node_id", F.array_join("snippet_ids", "|").alias("snippet_ids"))
 
 
+def _referring(g):
+    """The graph with an edge from each gene to the recommendations that its snippets support; the tables have none."""
+    said = g.edges.where(F.col("relation") == "GENE_MENTIONED_IN").select(F.col("source_id").alias("gene"), "target_id")
+    held = g.edges.where(F.col("relation") == "SUPPORTED_BY_SNIPPET").select(F.col("source_id").alias("rec"), "target_id")
+    pairs = said.join(held, "target_id").select("gene", "rec").distinct()
+    none = F.create_map().cast("map<string,string>").alias("properties")
+    key = F.concat_ws("|", F.lit("ref"), "gene", "rec").alias("edge_id")
+    more = pairs.select(key, F.col("gene").alias("source_id"), F.col("rec").alias("target_id"), F.lit("REFERENCED_IN_RECOMMENDATION").alias("relation"), none)
+    return GraphStore(g.nodes, g.edges.unionByName(more))
+
+
 def gene_recommendations(spark, d):
-    r = _context(spark, d).recommendations()
+    g = _referring(graph_of(spark, d))
+    r = GeneContext.of(g, spark.createDataFrame([(f"gene:{GENE}",)], "gene_id string")).recommendations()
     j = lambda c: F.array_join(c, "|").alias(c)
     return r.select("recommendation_id", "text", "evidence_class", "evidence_level", j("drugs"), j("conditions"), j("biomarkers"), j("supporting_snippet_ids"))
 
@@ -408,9 +418,12 @@ def tfidf_search(spark, d):
 
 
 def pending_documents(spark, d):
-    """Raw documents whose guideline is not in the table of normalized ones."""
-    r = read_table(spark, d, "raw_guidelines").select("file_id", ids.doc_id(F.col("source_json_path")).alias("guideline_id"))
-    return r.join(read_table(spark, d, "guidelines").select("guideline_id").where(F.col("guideline_id").isNotNull()), "guideline_id", "left_anti")
+    """Raw documents that are still to be normalized, if those are done whose guideline has an organization."""
+    g = guidelines_of(spark, d)
+    done = F.when(F.col("organization").isNotNull(), F.create_map(F.lit("ingest"), F.lit("completed"), F.lit("normalize"), F.lit("completed")))
+    state = g.select(F.col("guideline_id").alias("doc_id"), F.coalesce(done, F.create_map(F.lit("ingest"), F.lit("completed"))).alias("stages"))
+    found = read_table(spark, d, "raw_guidelines").select("file_id", ids.doc_id(F.col("source_json_path")).alias("doc_id"))
+    return manifest.pending(found, state, "normalize")
 
 
 def validation_report(spark, d):
@@ -425,8 +438,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         slug_ids, hash_ids, json_scan, sidecar_join, normalized_documents, normalized_snippets, normalized_mentions, rejected_documents, schema_hints,
-        snippet_first_wins, mention_merge, chunk_windows, sentence_counts, term_matches, term_counts, document_term_matches, document_all_term_matches, co_occurrence, mention_snippet_edges,
-        mention_conditions, section_graph, recommendation_scan, text_flags, recommendation_terms, built_nodes, built_edges, predicted_edges, predictor_candidates,
+        snippet_first_wins, mention_merge, chunk_windows, sentence_counts, term_matches, term_counts, document_all_term_matches, co_occurrence, mention_snippet_edges,
+        mention_conditions, section_graph, recommendation_scan, text_flags, recommendation_terms, built_nodes, built_edges, built_edge_ids, predicted_edges, predictor_candidates,
         node_upsert, edge_upsert, edge_first, checked_edges, label_scan, label_counts, point_lookup, adjacency, degrees, k_hop_edges, k_hop_nodes, k_hop_path_edges,
         exact_gene, fuzzy_gene, gene_context_edges, gene_context_nodes, gene_snippets, gene_guidelines, gene_conditions, gene_recommendations, gene_summary,
         all_gene_contexts, recommendation_rollup, built_recommendations, reranked, token_sets, tfidf_terms, tfidf_weights, tfidf_search, pending_documents, validation_report,
@@ -492,6 +505,13 @@ cn AS (SELECT gene_id, live.* FROM ends JOIN live USING (node_id))"""
 
 
 _CONTEXT = _context_sql(f"'gene:{GENE}'")
+_REFERRING = _CONTEXT.replace("e AS (SELECT edge_id", "e0 AS (SELECT edge_id", 1).replace(
+    "own AS (",
+    """e AS (SELECT * FROM e0 UNION ALL SELECT DISTINCT 'ref|' || a.source_id || '|' || b.source_id, a.source_id, b.source_id, 'REFERENCED_IN_RECOMMENDATION', NULL
+      FROM e0 a JOIN e0 b ON a.target_id = b.target_id AND a.relation = 'GENE_MENTIONED_IN' AND b.relation = 'SUPPORTED_BY_SNIPPET'),
+own AS (""",
+    1,
+)
 _text = lambda k: f"json_extract_string(properties['{k}'], '$')"
 _HOPS = f"""{_GRAPH},
 links AS (SELECT source_id AS a, target_id AS b FROM e UNION SELECT target_id, source_id FROM e),
@@ -535,7 +555,6 @@ ORACLES = {
     "sentence_counts": rf"SELECT row_id, len(string_split(regexp_replace(text, '([.!?]){_SP}+', '\1' || chr(1), 'g'), chr(1)))::INT AS n_sentences FROM snippets WHERE text IS NOT NULL",
     "term_matches": f"WITH {_MATCHES} SELECT snippet_id, kind, term FROM found",
     "term_counts": f"WITH {_MATCHES} SELECT kind, term, count(*) AS n_snippets, count(DISTINCT guideline_id) AS n_guidelines FROM found GROUP BY ALL",
-    "document_term_matches": f"SELECT DISTINCT doc_id::VARCHAR AS snippet_id, kind, term FROM documents s JOIN terms t ON (t.guideline_id IS NULL OR t.guideline_id = s.guideline_id) AND kind = 'drug' AND {_found('text')}",
     "document_all_term_matches": f"SELECT DISTINCT doc_id::VARCHAR AS snippet_id, kind, term FROM documents s JOIN terms t ON (t.guideline_id IS NULL OR t.guideline_id = s.guideline_id) AND term <> '' AND {_found('text')}",
     "co_occurrence": f"""WITH {_MATCHES}, g AS (SELECT snippet_id, 'gene:' || upper(term) AS gene FROM found WHERE kind = 'gene')
       SELECT DISTINCT {_edge('gene', "'ASSOCIATED_WITH_CONDITION'", '(' + _entity('Condition', 'term') + ')', 'snippet_id')} FROM g JOIN found USING (snippet_id) WHERE kind = 'condition'
@@ -579,7 +598,7 @@ ORACLES = {
     "gene_conditions": f"""WITH {_CONTEXT}, named AS (SELECT {_text('snippet_id')} AS sid, source_id, target_id FROM ce WHERE {_text('snippet_id')} IS NOT NULL),
       pairs AS (SELECT source_id AS node_id, sid FROM named UNION SELECT target_id, sid FROM named), lists AS (SELECT node_id, string_agg(sid, '|' ORDER BY sid) AS ids FROM pairs GROUP BY node_id)
       SELECT name, node_id, coalesce(ids, '') AS snippet_ids FROM cn LEFT JOIN lists USING (node_id) WHERE label = 'Condition'""",
-    "gene_recommendations": f"""WITH {_CONTEXT}, aimed AS (SELECT ce.source_id, ce.target_id, ce.relation, cn.name, cn.label FROM ce LEFT JOIN cn ON cn.node_id = ce.target_id),
+    "gene_recommendations": f"""WITH {_REFERRING}, aimed AS (SELECT ce.source_id, ce.target_id, ce.relation, cn.name, cn.label FROM ce LEFT JOIN cn ON cn.node_id = ce.target_id),
       pick AS (SELECT source_id AS node_id, array_to_string(list_sort(list_distinct(list(name) FILTER (relation IN ('RECOMMENDS', 'CONTRAINDICATED_FOR') AND name IS NOT NULL))), '|') AS drugs,
         array_to_string(list_sort(list_distinct(list(name) FILTER (label = 'Condition'))), '|') AS conditions, array_to_string(list_sort(list_distinct(list(name) FILTER (label = 'Biomarker'))), '|') AS biomarkers,
         array_to_string(list_sort(list_distinct(list(target_id) FILTER (relation = 'SUPPORTED_BY_SNIPPET'))), '|') AS ids FROM aimed GROUP BY source_id)
@@ -608,5 +627,35 @@ ORACLES = {
       q AS (SELECT term, tf * idf AS w FROM qt JOIN idf USING (term)), qn AS (SELECT term, w / sqrt(sum(w * w) OVER ()) AS qw FROM q),
       sc AS (SELECT snippet_id, sum(weight * qw) AS score FROM p JOIN qn USING (term) GROUP BY snippet_id)
       SELECT snippet_id, round(score, 6) AS score FROM sc WHERE score > 0 ORDER BY score DESC, snippet_id LIMIT 10""",
-    "pending_documents": f"SELECT file_id, {_doc_id('source_json_path')} AS guideline_id FROM raw_guidelines WHERE {_doc_id('source_json_path')} NOT IN (SELECT guideline_id FROM guidelines WHERE guideline_id IS NOT NULL)",
+    "pending_documents": f"""WITH g AS (SELECT guideline_id, arg_max(struct_pack(o := organization), (loaded_at, row_id)) AS v FROM guidelines WHERE guideline_id IS NOT NULL GROUP BY guideline_id)
+      SELECT file_id, {_doc_id('source_json_path')} AS doc_id FROM raw_guidelines WHERE {_doc_id('source_json_path')} NOT IN (SELECT guideline_id FROM g WHERE v.o IS NOT NULL)""",
+    "chunk_windows": rf"""WITH RECURSIVE {_SNIPPETS}, big AS (SELECT snippet_id, string_split(regexp_replace(text, '([.!?]){_SP}+', '\1' || chr(1), 'g'), chr(1)) AS sents FROM s WHERE length(text) > 1600),
+      f AS (SELECT snippet_id, sents, 1 AS i, '' AS cur, []::VARCHAR[] AS done FROM big
+        UNION ALL SELECT snippet_id, sents, i + 1,
+          CASE WHEN cur = '' THEN sents[i] WHEN length(cur || ' ' || sents[i]) <= 1600 THEN cur || ' ' || sents[i]
+            WHEN length(right(cur, 200) || ' ' || sents[i]) <= 1600 THEN right(cur, 200) || ' ' || sents[i] ELSE sents[i] END,
+          CASE WHEN cur = '' OR length(cur || ' ' || sents[i]) <= 1600 THEN done ELSE list_append(done, cur) END FROM f WHERE i <= len(sents)),
+      w AS (SELECT snippet_id, list_append(done, cur) AS ws FROM f WHERE i = len(sents) + 1),
+      x AS (SELECT snippet_id, len(ws) AS n, unnest(range(len(ws))) AS k, ws FROM w)
+      SELECT CASE WHEN n > 1 THEN snippet_id || ':' || {_hash('snippet_id', 'k::VARCHAR')} ELSE snippet_id END AS snippet_id, k::INT AS window, ws[k + 1] AS text FROM x
+      UNION ALL SELECT snippet_id, 0, text FROM s WHERE length(text) <= 1600""",
+    "built_edge_ids": f"""WITH {_SNIPPETS}, {_MENTIONS}, own AS (SELECT guideline_id, 'gene' AS kind, gene_symbol AS term FROM m UNION SELECT guideline_id, 'condition', unnest(associated_conditions) FROM m),
+      wanted AS (SELECT guideline_id, kind, term FROM terms WHERE kind IN ('gene', 'condition', 'biomarker', 'drug') UNION SELECT * FROM own WHERE guideline_id IS NOT NULL AND term IS NOT NULL),
+      found AS (SELECT DISTINCT s.snippet_id, s.guideline_id, kind, term FROM s JOIN wanted t ON (t.guideline_id IS NULL OR t.guideline_id = s.guideline_id) AND term <> '' AND {_found('text')} WHERE s.guideline_id IS NOT NULL),
+      {_RECS}, rs AS (SELECT * FROM recs WHERE guideline_id IS NOT NULL),
+      g AS (SELECT snippet_id, 'gene:' || upper(term) AS gene FROM found WHERE kind = 'gene'),
+      located AS (SELECT snippet_id, {_section_id} AS sec, 'guideline:' || guideline_id AS home FROM s WHERE guideline_id IS NOT NULL),
+      named AS (SELECT 'gene:' || gene_symbol AS gene, context, unnest(associated_conditions) AS c FROM m WHERE guideline_id IS NOT NULL),
+      linked AS (SELECT DISTINCT 'gene:' || gene_symbol AS gene, snippet_id FROM m JOIN s USING (guideline_id, content_index)),
+      told AS (SELECT recommendation_id, relation, kind, term FROM rs JOIN found USING (snippet_id)),
+      tg AS (SELECT 'gene:' || upper(term) AS gene, recommendation_id FROM told WHERE kind = 'gene'), td AS (SELECT recommendation_id, relation, {_entity('Drug', 'term')} AS drug FROM told WHERE kind = 'drug')
+      SELECT {_edge('snippet_id', "'LOCATED_IN_SECTION'", 'sec')} FROM located UNION SELECT {_edge('snippet_id', "'FROM_GUIDELINE'", 'home')} FROM located
+      UNION SELECT {_edge('gene', "'GENE_MENTIONED_IN'", 'snippet_id')} FROM linked UNION SELECT {_edge('gene', "'GENE_MENTIONED_IN'", 'snippet_id')} FROM g
+      UNION SELECT {_edge('gene', "'ASSOCIATED_WITH_CONDITION'", '(' + _entity('Condition', 'c') + ')', 'context')} FROM named WHERE c IS NOT NULL
+      UNION SELECT {_edge('gene', "'ASSOCIATED_WITH_CONDITION'", '(' + _entity('Condition', 'term') + ')', 'snippet_id')} FROM g JOIN found USING (snippet_id) WHERE kind = 'condition'
+      UNION SELECT {_edge('gene', "'CO_MENTIONED_WITH'", '(' + _entity('Biomarker', 'term') + ')', 'snippet_id')} FROM g JOIN found USING (snippet_id) WHERE kind = 'biomarker'
+      UNION SELECT {_edge('recommendation_id', "'SUPPORTED_BY_SNIPPET'", 'snippet_id')} FROM rs
+      UNION SELECT {_edge('recommendation_id', "'HAS_EVIDENCE_CLASS'", '(' + _entity('EvidenceClass', 'evidence_class') + ')')} FROM rs WHERE evidence_class IS NOT NULL
+      UNION SELECT {_edge('recommendation_id', "'HAS_EVIDENCE_LEVEL'", '(' + _entity('EvidenceLevel', 'evidence_level') + ')')} FROM rs WHERE evidence_level IS NOT NULL
+      UNION SELECT {_edge('gene', "'REFERENCED_IN_RECOMMENDATION'", 'recommendation_id')} FROM tg UNION SELECT {_edge('recommendation_id', 'relation', 'drug')} FROM td""",
 }
