@@ -18,6 +18,13 @@ SNIPPET_RELATIONS = ("FROM_GUIDELINE", "LOCATED_IN_SECTION")
 RECOMMENDATION_RELATIONS = ("SUPPORTED_BY_SNIPPET", "HAS_EVIDENCE_CLASS", "HAS_EVIDENCE_LEVEL", "RECOMMENDS", "CONTRAINDICATED_FOR")
 
 
+#: Order of the rows in an answer's sections.
+ORDERS = {
+    "supporting_snippets": ("guideline_title", "page", "snippet_id"), "guidelines": ("title", "guideline_id"), "conditions": ("name", "node_id"),
+    "biomarkers": ("name", "node_id"), "drugs": ("name", "node_id"), "recommendations": ("recommendation_id",),
+}
+
+
 def text_of(key: str) -> Column:
     """A text property; a JSON null is null."""
     raw = F.nullif(F.col("properties")[key], F.lit("null"))
@@ -76,7 +83,8 @@ def context_nodes(nodes: DataFrame, found: DataFrame, genes: DataFrame) -> DataF
 
 @dataclass(frozen=True)
 class GeneContext:
-    """The context of one or more genes, with the sections of an answer. Each section has gene_id in its rows."""
+    """The context of one or more genes, with the sections of an answer. Each section has gene_id in its rows, which
+    come in no order; ``ORDERS`` has the order in which one gene's answer shows them."""
 
     nodes: DataFrame
     edges: DataFrame
@@ -91,18 +99,18 @@ class GeneContext:
         return rows.select(
             "gene_id", F.col("node_id").alias("snippet_id"), F.coalesce(text_of("text"), F.lit("")).alias("text"), text_of("guideline_title").alias("guideline_title"), text_of("page").alias("page"),
             F.col("properties")["section_path"].alias("section_path"), text_of("source_json_path").alias("source_json_path"), text_of("source_pdf_path").alias("source_pdf_path"),
-        ).orderBy("gene_id", F.coalesce("guideline_title", F.lit("")), F.coalesce("page", F.lit("")), "snippet_id")
+        )
 
     def guidelines(self) -> DataFrame:
         rows = self.nodes.where(F.col("label") == "Guideline")
-        return rows.select("gene_id", F.coalesce(text_of("guideline_id"), F.col("node_id")).alias("guideline_id"), F.col("name").alias("title")).orderBy("gene_id", "title", "guideline_id")
+        return rows.select("gene_id", F.coalesce(text_of("guideline_id"), F.col("node_id")).alias("guideline_id"), F.col("name").alias("title"))
 
     def related(self, label: str) -> DataFrame:
         """Nodes of a label with the sorted ids of the snippets that link them (of edges that name one)."""
         named = self.edges.select("gene_id", text_of("snippet_id").alias("snippet_id"), F.explode(F.array("source_id", "target_id")).alias("node_id")).where(F.col("snippet_id").isNotNull())
         lists = named.groupBy("gene_id", "node_id").agg(F.array_sort(F.collect_set("snippet_id")).alias("snippet_ids"))
         rows = self.nodes.where(F.col("label") == label).join(lists, ["gene_id", "node_id"], "left")
-        return rows.select("gene_id", "name", "node_id", F.coalesce("snippet_ids", F.array().cast("array<string>")).alias("snippet_ids")).orderBy("gene_id", "name", "node_id")
+        return rows.select("gene_id", "name", "node_id", F.coalesce("snippet_ids", F.array().cast("array<string>")).alias("snippet_ids"))
 
     def recommendations(self, fill: bool = False) -> DataFrame:
         """Recommendations with drugs, conditions, biomarkers and supporting snippets.
@@ -131,7 +139,7 @@ class GeneContext:
         return rows.select(
             "gene_id", F.col("node_id").alias("recommendation_id"), F.coalesce(text_of("text"), F.col("name")).alias("text"), text_of("evidence_class").alias("evidence_class"), text_of("evidence_level").alias("evidence_level"),
             *(F.coalesce(c, none).alias(c) for c in ("drugs", "conditions", "biomarkers", "supporting_snippet_ids")),
-        ).orderBy("gene_id", "recommendation_id")
+        )
 
     def summary(self) -> DataFrame:
         """gene_id, summary: number of guidelines, the first five conditions by name, and evidence classes."""

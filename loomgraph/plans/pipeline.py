@@ -27,7 +27,7 @@ from loomgraph.operators.extract import (
 )
 from loomgraph.operators.graph import GraphStore, first_wins
 from loomgraph.operators.normalize import normalize
-from loomgraph.operators.retrieval import GeneContext, rerank, resolve_exact, resolve_fuzzy
+from loomgraph.operators.retrieval import ORDERS, GeneContext, rerank, resolve_exact, resolve_fuzzy
 from loomgraph.operators.structured import candidate_snippets, predict, prediction_edges, prediction_nodes
 from loomgraph.operators.tfidf import TfidfIndex
 from loomgraph.session import cut, scratch, ship_package
@@ -252,15 +252,16 @@ class Pipeline:
         best = matches[0]
         c = GeneContext.of(store, self.spark.createDataFrame([(best["node_id"],)], "gene_id string"))
         context = GeneContext(cut(c.nodes), cut(c.edges))
-        snippets = context.supporting_snippets()
-        if question:
-            snippets = rerank(snippets, question, self.settings.top_k)
-        rows = lambda d: [r.asDict() for r in d.drop("gene_id").collect()]  # noqa: E731  one gene's context
-        return answer | {
-            "resolved_gene": best["gene_symbol"], "match_type": best["match_type"], "guidelines": rows(context.guidelines()), "conditions": rows(context.related("Condition")),
-            "biomarkers": rows(context.related("Biomarker")), "drugs": rows(context.related("Drug")), "recommendations": rows(context.recommendations()),
-            "supporting_snippets": rows(snippets), "summary": rows(context.summary())[0]["summary"],
+        parts = {
+            "guidelines": context.guidelines(), "conditions": context.related("Condition"), "biomarkers": context.related("Biomarker"), "drugs": context.related("Drug"),
+            "recommendations": context.recommendations(), "supporting_snippets": context.supporting_snippets(),
         }
+        rows = lambda d: [r.asDict() for r in d.drop("gene_id").collect()]  # noqa: E731  one gene's context
+        shown = {name: d.orderBy(*(F.coalesce(c, F.lit("")) for c in ORDERS[name])) for name, d in parts.items()}
+        if question:
+            shown["supporting_snippets"] = rerank(shown["supporting_snippets"], question, self.settings.top_k)
+        found = {name: rows(d) for name, d in shown.items()}
+        return answer | {"resolved_gene": best["gene_symbol"], "match_type": best["match_type"], **found, "summary": rows(context.summary())[0]["summary"]}
 
     def subgraph(self, gene: str) -> GraphStore:
         """The context of a gene as a graph; empty if there is no such gene."""
