@@ -19,10 +19,7 @@ RECOMMENDATION_RELATIONS = ("SUPPORTED_BY_SNIPPET", "HAS_EVIDENCE_CLASS", "HAS_E
 
 
 #: Order of the rows in an answer's sections.
-ORDERS = {
-    "supporting_snippets": ("guideline_title", "page", "snippet_id"), "guidelines": ("title", "guideline_id"), "conditions": ("name", "node_id"),
-    "biomarkers": ("name", "node_id"), "drugs": ("name", "node_id"), "recommendations": ("recommendation_id",),
-}
+ORDERS = {"supporting_snippets": ("guideline_title", "page", "snippet_id"), "guidelines": ("title", "guideline_id"), "related": ("name", "node_id"), "recommendations": ("recommendation_id",)}
 
 
 def text_of(key: str) -> Column:
@@ -84,7 +81,7 @@ def context_nodes(nodes: DataFrame, found: DataFrame, genes: DataFrame) -> DataF
 @dataclass(frozen=True)
 class GeneContext:
     """The context of one or more genes, with the sections of an answer. Each section has gene_id in its rows, which
-    come in no order; ``ORDERS`` has the order in which one gene's answer shows them."""
+    come in the order of ``ORDERS``, or with ``ordered=False`` in none: for the sections of many genes at once."""
 
     nodes: DataFrame
     edges: DataFrame
@@ -94,25 +91,32 @@ class GeneContext:
         found = context_edges(store.edges, genes)
         return cls(context_nodes(store.nodes, found, genes), found)
 
-    def supporting_snippets(self) -> DataFrame:
+    @staticmethod
+    def _shown(rows: DataFrame, section: str, ordered: bool) -> DataFrame:
+        return rows.orderBy("gene_id", *(F.coalesce(c, F.lit("")) for c in ORDERS[section])) if ordered else rows
+
+    def supporting_snippets(self, ordered: bool = True) -> DataFrame:
         rows = self.nodes.where(F.col("label") == "Snippet")
-        return rows.select(
+        found = rows.select(
             "gene_id", F.col("node_id").alias("snippet_id"), F.coalesce(text_of("text"), F.lit("")).alias("text"), text_of("guideline_title").alias("guideline_title"), text_of("page").alias("page"),
             F.col("properties")["section_path"].alias("section_path"), text_of("source_json_path").alias("source_json_path"), text_of("source_pdf_path").alias("source_pdf_path"),
         )
+        return self._shown(found, "supporting_snippets", ordered)
 
-    def guidelines(self) -> DataFrame:
+    def guidelines(self, ordered: bool = True) -> DataFrame:
         rows = self.nodes.where(F.col("label") == "Guideline")
-        return rows.select("gene_id", F.coalesce(text_of("guideline_id"), F.col("node_id")).alias("guideline_id"), F.col("name").alias("title"))
+        found = rows.select("gene_id", F.coalesce(text_of("guideline_id"), F.col("node_id")).alias("guideline_id"), F.col("name").alias("title"))
+        return self._shown(found, "guidelines", ordered)
 
-    def related(self, label: str) -> DataFrame:
+    def related(self, label: str, ordered: bool = True) -> DataFrame:
         """Nodes of a label with the sorted ids of the snippets that link them (of edges that name one)."""
         named = self.edges.select("gene_id", text_of("snippet_id").alias("snippet_id"), F.explode(F.array("source_id", "target_id")).alias("node_id")).where(F.col("snippet_id").isNotNull())
         lists = named.groupBy("gene_id", "node_id").agg(F.array_sort(F.collect_set("snippet_id")).alias("snippet_ids"))
         rows = self.nodes.where(F.col("label") == label).join(lists, ["gene_id", "node_id"], "left")
-        return rows.select("gene_id", "name", "node_id", F.coalesce("snippet_ids", F.array().cast("array<string>")).alias("snippet_ids"))
+        found = rows.select("gene_id", "name", "node_id", F.coalesce("snippet_ids", F.array().cast("array<string>")).alias("snippet_ids"))
+        return self._shown(found, "related", ordered)
 
-    def recommendations(self, fill: bool = False) -> DataFrame:
+    def recommendations(self, fill: bool = False, ordered: bool = True) -> DataFrame:
         """Recommendations with drugs, conditions, biomarkers and supporting snippets.
 
         Conditions and biomarkers are those that a recommendation has edges to, and there are none as graphs are
@@ -136,10 +140,11 @@ class GeneContext:
             lists = lists.drop("conditions", "biomarkers").join(more, ["gene_id", "node_id"], "left")
         rows = self.nodes.where(F.col("label") == "Recommendation").join(lists, ["gene_id", "node_id"], "left")
         none = F.array().cast("array<string>")
-        return rows.select(
+        found = rows.select(
             "gene_id", F.col("node_id").alias("recommendation_id"), F.coalesce(text_of("text"), F.col("name")).alias("text"), text_of("evidence_class").alias("evidence_class"), text_of("evidence_level").alias("evidence_level"),
             *(F.coalesce(c, none).alias(c) for c in ("drugs", "conditions", "biomarkers", "supporting_snippet_ids")),
         )
+        return self._shown(found, "recommendations", ordered)
 
     def summary(self) -> DataFrame:
         """gene_id, summary: number of guidelines, the first five conditions by name, and evidence classes."""

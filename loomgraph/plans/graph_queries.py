@@ -373,7 +373,7 @@ def recommendation_rollup(spark, d):
     g = graph_of(spark, d)
     whole = GeneContext(g.nodes.withColumn("gene_id", F.lit("all")), g.edges.withColumn("gene_id", F.lit("all")))
     j = lambda c: F.array_join(c, "|").alias(c)
-    return whole.recommendations().select("recommendation_id", "evidence_class", j("drugs"), j("supporting_snippet_ids"))
+    return whole.recommendations(ordered=False).select("recommendation_id", "evidence_class", j("drugs"), j("supporting_snippet_ids"))
 
 
 def built_recommendations(spark, d):
