@@ -110,7 +110,7 @@ _COPIES = f"""WITH st AS (SELECT row_id, CASE WHEN coalesce(snippet_type = 'reco
     ELSE 't' || nullif({_FORM('text')}, '') END AS k FROM snippets),
   sn AS (SELECT 'snippets' AS tbl, min(row_id) OVER (PARTITION BY k) AS first_row_id, row_id FROM st WHERE k IS NOT NULL),
   mt AS (SELECT row_id, guideline_id, occurrences, content_index, {_FORM('gene_symbol')} AS s, {_FORM('context')} AS c,
-    list_sort(list_transform(associated_conditions, lambda x: coalesce('=' || {_FORM('x')}, '~'))) AS a FROM gene_mentions WHERE regexp_matches(gene_symbol, '[^\s\p{{Z}}\p{{C}}]')),
+    list_sort(list_transform(associated_conditions, lambda x: coalesce('=' || {_FORM('x')}, '~'))) AS a FROM gene_mentions WHERE regexp_matches(gene_symbol, '[^\\s\\p{{Z}}\\p{{C}}]')),
   mn AS (SELECT 'gene_mentions' AS tbl, min(row_id) OVER (PARTITION BY guideline_id, occurrences, content_index, s, c, a) AS first_row_id, row_id FROM mt)"""
 
 ORACLES = {
