@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.functions import ids
 from loomgraph.functions.text import evidence_class, evidence_level, is_against, is_recommendation, json_value
-from loomgraph.operators.graph import GraphStore, first_wins, merge_edges, merge_properties
+from loomgraph.operators.graph import EDGE, GraphStore, first_wins, merge_edges, merge_properties
 from loomgraph.operators.skew import heavy_keys, lookup_join
 from loomgraph.operators.terms import match_terms
 from loomgraph.session import cut
@@ -210,49 +212,168 @@ def guideline_nodes(guidelines: DataFrame) -> DataFrame:
     return guidelines.select("guideline_id", _order(0), *node("Guideline", F.concat(F.lit("guideline:"), F.col("guideline_id")), F.col("title"), props(**values)))
 
 
-def assemble(node_rows: DataFrame, edge_rows: DataFrame) -> GraphStore:
-    """Merge rows to a graph: within a document the first name and edge count and the last value of each property;
-    between documents, in order of guideline_id, the last of all three."""
+def assemble_nodes(node_rows: DataFrame) -> DataFrame:
     firsts = first_wins(node_rows.select("guideline_id", "node_id", "ord", F.struct("label", "name").alias("v")), ["guideline_id", "node_id"], "ord")
     named = firsts.groupBy("node_id").agg(F.max_by("v", "guideline_id").alias("v"))
     laid = merge_properties(node_rows.withColumn("o", F.struct("guideline_id", "ord")), ["node_id"], "o")
-    nodes = named.join(laid, "node_id").select("node_id", "v.label", "v.name", "properties")
-    edges = first_wins(edge_rows, ["guideline_id", "edge_id"], "ord")
-    return GraphStore(nodes, merge_edges(edges, "guideline_id"))
+    return named.join(laid, "node_id").select("node_id", "v.label", "v.name", "properties")
 
 
-def extract_graph(guidelines: DataFrame, snippets: DataFrame, mentions: DataFrame, terms: DataFrame) -> GraphStore:
-    """The graph of all documents in one plan, see ``extract_rows``."""
-    return assemble(*extract_rows(guidelines, snippets, mentions, terms))
+def assemble_edges(edge_rows: DataFrame) -> DataFrame:
+    return merge_edges(first_wins(edge_rows, ["guideline_id", "edge_id"], "ord"), "guideline_id")
 
 
-def extract_rows(guidelines: DataFrame, snippets: DataFrame, mentions: DataFrame, terms: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Node and edge rows of all documents, to be merged by ``assemble``.
-
-    Expects one row per guideline, chunked snippets with ids, and merged mentions with upper-case symbols; rows without
-    guideline_id are left out. All three are read several times and should be cut.
-    """
-    guidelines, snippets, mentions = (d.where(F.col("guideline_id").isNotNull()) for d in (guidelines, snippets, mentions))
-    snippets = cut(with_sources(snippets.where(F.col("text").isNotNull() & F.col("snippet_id").isNotNull()), guidelines))
-    mentions = mentions.where(F.col("gene_symbol").isNotNull())
-    found = match_terms(snippets, document_terms(mentions, terms))
-    matches = cut(found.join(snippets.select("snippet_id", "guideline_id").distinct(), "snippet_id"))
-    recs = cut(recommendations(snippets))
-    nodes = guideline_nodes(guidelines)
-    for part in (snippet_nodes(snippets), section_nodes(snippets), entity_nodes(matches, mentions, recs), recommendation_nodes(recs)):
-        nodes = nodes.unionByName(part)
+def assemble(node_rows: DataFrame, edge_rows: DataFrame) -> GraphStore:
+    """Merge rows to a graph: within a document the first name and edge count and the last value of each property;
+    between documents, in order of guideline_id, the last of all three."""
+    return GraphStore(assemble_nodes(node_rows), assemble_edges(edge_rows))
+
+
+@dataclass(frozen=True)
+class Found:
+    """What is found in documents, the ground of node and edge rows. Snippets and mentions should be cut."""
+
+    guidelines: DataFrame
+    snippets: DataFrame
+    mentions: DataFrame
+    matches: DataFrame
+
+    @classmethod
+    def of(cls, guidelines: DataFrame, snippets: DataFrame, mentions: DataFrame, terms: DataFrame) -> Found:
+        """Expects one row per guideline, chunked snippets with ids, and merged mentions with upper-case symbols; rows
+        without guideline_id are left out. All three are read several times and should be cut."""
+        guidelines, snippets, mentions = (d.where(F.col("guideline_id").isNotNull()) for d in (guidelines, snippets, mentions))
+        snippets = snippets.where(F.col("text").isNotNull() & F.col("snippet_id").isNotNull())
+        mentions = mentions.where(F.col("gene_symbol").isNotNull())
+        found = match_terms(snippets, document_terms(mentions, terms))
+        return cls(guidelines, snippets, mentions, cut(found.join(snippets.select("snippet_id", "guideline_id").distinct(), "snippet_id")))
+
+    def node_rows(self) -> DataFrame:
+        snippets = cut(with_sources(self.snippets, self.guidelines))
+        recs = cut(recommendations(snippets))
+        nodes = guideline_nodes(self.guidelines)
+        for part in (snippet_nodes(snippets), section_nodes(snippets), entity_nodes(self.matches, self.mentions, recs), recommendation_nodes(recs)):
+            nodes = nodes.unionByName(part)
+        return nodes
+
+    def _recs(self) -> DataFrame:
+        return cut(recommendations(self.snippets).drop("text", "section_path", "page"))
+
+    def edge_rows(self) -> DataFrame:
+        recs = self._recs()
+        edges = _snippet_edges(self.snippets, self.mentions, self.matches, recs)
+        for part in _shared_edges(self.mentions, self.matches, recs):
+            edges = edges.unionByName(part)
+        return edges
+
+    def edges(self) -> DataFrame:
+        """The edges that ``assemble`` makes of ``edge_rows``, most of them without merging.
+
+        The id of an edge that names a snippet holds the snippet's id, so where that is the id of one row only, such
+        edges meet no others but those of the same snippet: they are made as they are. Edges of other snippets, and
+        those between entities, are merged.
+        """
+        recs = self._recs()
+        odd = cut(shared_ids(self.snippets, self.mentions))
+        edges = None
+        for part in _shared_edges(self.mentions, self.matches, recs):
+            edges = part if edges is None else edges.unionByName(part)
+        snippets, matches, own_recs = self.snippets, self.matches, recs
+        if not odd.isEmpty():
+            some = lambda d: d.join(odd, "snippet_id", "left_semi")
+            edges = edges.unionByName(_snippet_edges(some(snippets), self.mentions, some(matches), some(recs)))
+            snippets, matches, own_recs = (d.join(odd, "snippet_id", "left_anti") for d in (snippets, matches, recs))
+        edges = assemble_edges(edges)
+        for part in (guideline_edges(snippets), section_edges(snippets), support_edges(own_recs), *_settled_edges(snippets, self.mentions, matches)):
+            edges = edges.unionByName(part.select(*EDGE))
+        return edges
+
+
+def _snippet_edges(snippets: DataFrame, mentions: DataFrame, matches: DataFrame, recs: DataFrame) -> DataFrame:
+    """Rows of the edges that name a snippet."""
     edges = guideline_edges(snippets)
     for part in (
         section_edges(snippets),
         mention_edges(mentions, snippets),
-        mention_condition_edges(mentions),
         match_gene_edges(matches),
         co_occurrence_edges(matches, "condition", "Condition", "ASSOCIATED_WITH_CONDITION"),
         co_occurrence_edges(matches, "biomarker", "Biomarker", "CO_MENTIONED_WITH"),
         support_edges(recs),
+    ):
+        edges = edges.unionByName(part)
+    return edges
+
+
+def _shared_edges(mentions: DataFrame, matches: DataFrame, recs: DataFrame) -> list[DataFrame]:
+    """Rows of the edges that several snippets can give."""
+    return [
+        mention_condition_edges(mentions),
         evidence_edges(recs, "evidence_class", "EvidenceClass", "HAS_EVIDENCE_CLASS"),
         evidence_edges(recs, "evidence_level", "EvidenceLevel", "HAS_EVIDENCE_LEVEL"),
         recommendation_term_edges(recs, matches),
-    ):
-        edges = edges.unionByName(part)
-    return nodes, edges
+    ]
+
+
+def shared_ids(snippets: DataFrame, mentions: DataFrame) -> DataFrame:
+    """snippet_id of the snippets whose id counts, in the ids of edges, as that of another row or as a mention's context."""
+    keyed = snippets.select("snippet_id", ids.strip(F.col("snippet_id")).alias("at"))
+    several = keyed.groupBy("at").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | (F.col("at") == "")).select("at")
+    contexts = mentions.select(ids.strip(F.col("context")).alias("at")).where(F.col("at").isNotNull()).distinct()
+    return keyed.join(several.unionByName(contexts), "at", "left_semi").select("snippet_id").distinct()
+
+
+def _settled_edges(snippets: DataFrame, mentions: DataFrame, matches: DataFrame) -> list[DataFrame]:
+    """``mention_edges``, ``match_gene_edges`` and ``co_occurrence_edges`` as they are once merged, of snippets whose ids
+    are not shared. Of genes that count as one in an edge's id the first stays; a mention goes before a match."""
+    key, first = ids.strip(F.col("gene")).alias("key"), F.min("gene").alias("gene")
+    named = mentions.where(F.col("content_index").isNotNull()).select("guideline_id", "content_index", ids.gene_id(F.col("gene_symbol")).alias("gene"))
+    named = cut(named.groupBy("guideline_id", "content_index", key).agg(first))
+    places = snippets.select("guideline_id", "content_index", "snippet_id")
+    genes = matches.where(F.col("kind") == "gene").select("snippet_id", ids.gene_id(F.col("term")).alias("gene")).groupBy("snippet_id", key).agg(first)
+    more = genes.join(places, "snippet_id").join(named.select("guideline_id", "content_index", "key"), ["guideline_id", "content_index", "key"], "left_anti")
+    at = ids.strip(F.col("snippet_id"))
+
+    def linked(rows: DataFrame, relation: str, target: str, properties: Column, apart: bool) -> DataFrame:
+        end = at if target == "snippet_id" else F.col(target)
+        edge_id = F.concat(F.lit("edge:"), ids.stripped_hash(F.lit("edge"), F.col("key"), F.lit(relation), end, *([at] if apart else [])))
+        return rows.select(edge_id.alias("edge_id"), F.col("gene").alias("source_id"), F.col(target).alias("target_id"), F.lit(relation).alias("relation"), properties.alias("properties"))
+
+    out = [linked(_item_pairs(named, places), "GENE_MENTIONED_IN", "snippet_id", props(source=F.lit("raw_gene_mentions")), False)]
+    out.append(linked(more, "GENE_MENTIONED_IN", "snippet_id", props(source=F.lit("snippet_match")), False))
+    for kind, label, relation in (("condition", "Condition", "ASSOCIATED_WITH_CONDITION"), ("biomarker", "Biomarker", "CO_MENTIONED_WITH")):
+        others = matches.where(F.col("kind") == kind).select("snippet_id", ids.entity_id(label, F.col("term")).alias("other")).distinct()
+        out.append(linked(genes.join(others, "snippet_id"), relation, "other", props(snippet_id=F.col("snippet_id")), True))
+    return out
+
+
+#: Pairs of genes and snippets that a part of a content item gives, about; and that a task gives.
+ITEM_PAIRS, TASK_PAIRS = 20_000, 400_000
+
+
+def _item_pairs(named: DataFrame, places: DataFrame) -> DataFrame:
+    """Each gene of a content item with each of its snippets. Their number is the product of both, so the snippets of a
+    large item are dealt out to parts, and there are as many tasks as the pairs need, not the rows."""
+    item = ["guideline_id", "content_index"]
+    n = F.count(F.lit(1))
+    pairs = named.groupBy(*item).agg(n.alias("g")).join(places.groupBy(*item).agg(n.alias("s")), item).withColumn("n", F.col("g") * F.col("s"))
+    sizes = cut(pairs.select(*item, "n"))
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    large = sizes.where(F.col("n") > ITEM_PAIRS).select(*item, F.ceil(F.col("n") / ITEM_PAIRS).cast("int").alias("parts"))
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = places.join(large, item, "left").select(*item, "snippet_id", F.pmod(F.xxhash64("snippet_id"), parts).cast("int").alias("part"))
+    copied = named.join(large, item, "left").select(*item, "key", "gene", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    tasks = max(total // TASK_PAIRS + 1, places.sparkSession.sparkContext.defaultParallelism)
+    by = [*item, "part"]
+    return dealt.repartition(tasks, *by).join(copied.repartition(tasks, *by), by).select("key", "gene", "snippet_id")
+
+
+def extract_graph(guidelines: DataFrame, snippets: DataFrame, mentions: DataFrame, terms: DataFrame) -> GraphStore:
+    """The graph of all documents in one plan, see ``Found``."""
+    found = Found.of(guidelines, snippets, mentions, terms)
+    return GraphStore(assemble_nodes(found.node_rows()), found.edges())
+
+
+def extract_rows(guidelines: DataFrame, snippets: DataFrame, mentions: DataFrame, terms: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Node and edge rows of all documents, to be merged by ``assemble``, see ``Found``."""
+    found = Found.of(guidelines, snippets, mentions, terms)
+    return found.node_rows(), found.edge_rows()

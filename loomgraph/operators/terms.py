@@ -10,29 +10,40 @@ from loomgraph.session import cut
 
 #: Each term is repeated for this many parts of the texts, so that a word of a third of all texts is no single task.
 SALTS = 8
-#: Where two words meet, with two signs of either: the part by which a phrase is looked up.
-SEAM = f"{WORD}{{2}}[^\\p{{L}}\\p{{N}}_]+{WORD}{{2}}"
-#: Longest part by which terms without a seam are looked up.
+_OTHER = r"[^\p{L}\p{N}_]"
+#: Parts by which terms are looked up that are no words, best first: where two words meet, with five or two signs of
+#: either; the first signs of a word with the sign before it, and the last with the sign after it.
+SHAPES = {"long": f"{WORD}{{5}}{_OTHER}+{WORD}{{5}}", "seam": f"{WORD}{{2}}{_OTHER}+{WORD}{{2}}", "head": f"{_OTHER}{WORD}{{3}}", "tail": f"{WORD}{{3}}{_OTHER}"}
+#: Longest part by which terms without any of these are looked up.
 GRAM = 3
+#: Up to so many parts of one family are looked for one by one, which is quicker than listing all those of a text.
+FEW = 32
+#: Parts of texts are first looked up among this many numbers, which bounds that broadcast; a number that a part and
+#: another anchor share lets the part through to the join.
+BUCKETS = 2**17
 
 
 def _anchored(terms: DataFrame) -> DataFrame:
     """Terms with ``family`` and ``anchor``: the part by which a text is looked up, and where such parts come from.
 
-    ``word``: the first token of a term that is matched as a whole word; ``seam``: the first seam of another term;
-    ``1`` to ``3``: the first signs of a term without a seam, which may begin inside a word.
+    ``word``: the first token of a term that is matched as a whole word; one of ``SHAPES``: its first place in another
+    term; ``1`` to ``3``: the first signs of a term without these, which may begin inside a word.
     """
     low = F.lower("term")
-    token, seam = F.regexp_extract(low, f"{WORD}+", 0), F.regexp_extract(low, SEAM, 0)
+    token = F.regexp_extract(low, f"{WORD}+", 0)
     whole = is_word(F.col("term")) & (token != "")
-    family = F.when(whole, "word").when(seam != "", "seam").otherwise(F.least(F.length(low), F.lit(GRAM)).cast("string"))
-    anchor = F.when(whole, token).when(seam != "", seam).otherwise(F.substring(low, 1, GRAM))
+    family, anchor = F.when(whole, "word"), F.when(whole, token)
+    for name, pattern in SHAPES.items():
+        part = F.regexp_extract(low, pattern, 0)
+        family, anchor = family.when(part != "", name), anchor.when(part != "", part)
+    family, anchor = family.otherwise(F.least(F.length(low), F.lit(GRAM)).cast("string")), anchor.otherwise(F.substring(low, 1, GRAM))
     return terms.select("scope", "kind", "term", family.alias("family"), anchor.alias("anchor"))
 
 
 def _parts(text: Column, family: str) -> Column:
     """The distinct parts of a text that anchors of a family can equal."""
-    pattern = {"word": f"({WORD}+)", "seam": f"(?=({SEAM}))"}.get(family) or f"(?s)(?=(.{{{family}}}))"
+    inner = SHAPES.get(family) or f"(?s:.{{{family}}})"
+    pattern = f"({WORD}+)" if family == "word" else f"(?=({inner}))"
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(1)))
 
 
@@ -44,29 +55,36 @@ def match_terms(texts: DataFrame, terms: DataFrame) -> DataFrame:
     snippet_id, match nothing. Texts that share a snippet_id count as one; other columns are ignored.
 
     A term joins texts by a part that any text holding it must have, together with its guideline if it has one, so
-    the rows of the join grow with the places that can match. Texts are not carried along: only where the part does
-    not decide are they fetched for the pairs found, and the term is checked in place.
+    the rows of the join grow with the places that can match; parts that no term has are left out before. Texts are not
+    carried along: only where the part does not decide are they fetched for the pairs found, and the term is checked in
+    place.
     """
     texts = texts.select("snippet_id", "guideline_id", "text").where((F.col("text") != "") & F.col("snippet_id").isNotNull())
     terms = terms.select(F.col("guideline_id").alias("scope"), "kind", "term").where(F.col("term") != "").distinct()
-    anchored = cut(_anchored(terms).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
-    present = anchored.select("family", F.col("scope").isNull().alias("everywhere")).distinct().collect()  # ten rows at most
+    bucket = F.pmod(F.xxhash64("anchor"), F.lit(BUCKETS)).alias("bucket")
+    place = F.when(F.col("scope").isNull(), "").otherwise(F.concat(F.lit("="), "scope")).alias("place")
+    anchored = cut(_anchored(terms).select("family", "anchor", "kind", "term", place, bucket))
+    present = anchored.groupBy("family").agg(F.countDistinct("anchor").alias("n")).collect()  # eight rows at most
 
     schema = "snippet_id string, guideline_id string, kind string, term string, sure boolean"
     pairs = texts.sparkSession.createDataFrame([], schema)
-    for family in sorted({r.family for r in present}):
+    for family, n in sorted(present):
+        own = anchored.where(F.col("family") == family)
+        marks = own.groupBy("bucket").agg(F.max(F.col("place") == "").alias("everywhere"), F.max(F.col("place") != "").alias("scoped"))
+        if family != "word" and n <= FEW:
+            each = [F.when(F.col("low").contains(r.anchor), r.anchor) for r in own.select("anchor").distinct().collect()]
+            parts = texts.select("snippet_id", "guideline_id", F.lower("text").alias("low")).select("snippet_id", "guideline_id", F.explode(F.array(*each)).alias("anchor")).where(F.col("anchor").isNotNull())
+        else:
+            parts = texts.select("snippet_id", "guideline_id", F.explode(_parts(F.col("text"), family)).alias("anchor"))
+        parts = parts.withColumn("bucket", bucket).join(F.broadcast(marks), "bucket")
+        places = F.array(F.when(F.col("everywhere"), ""), F.when(F.col("scoped"), F.concat(F.lit("="), "guideline_id")))
         salt = F.pmod(F.xxhash64("snippet_id"), F.lit(SALTS)).cast("int").alias("salt")
-        parts = texts.select("snippet_id", "guideline_id", salt, F.explode(_parts(F.col("text"), family)).alias("anchor"))
+        parts = parts.select("snippet_id", "guideline_id", "anchor", salt, F.explode(places).alias("place")).where(F.col("place").isNotNull())
+        salted = own.select("anchor", "kind", "term", "place", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
         sure = (F.lit(family == "word") & (F.lower("term") == F.col("anchor"))).alias("sure")
-        keep = ["snippet_id", "guideline_id", "kind", "term", sure]
-        own = anchored.where(F.col("family") == family).drop("family")
-        if (family, True) in {tuple(r) for r in present}:
-            pairs = pairs.unionByName(parts.join(own.where(F.col("scope").isNull()).drop("scope"), ["anchor", "salt"]).select(*keep))
-        if (family, False) in {tuple(r) for r in present}:
-            scoped = own.where(F.col("scope").isNotNull()).withColumnRenamed("scope", "guideline_id")
-            pairs = pairs.unionByName(parts.join(scoped, ["guideline_id", "anchor", "salt"]).select(*keep))
+        pairs = pairs.unionByName(parts.join(salted, ["place", "anchor", "salt"]).select("snippet_id", "guideline_id", "kind", "term", sure))
     pairs = cut(pairs)
-    open_ = pairs.where(~F.col("sure")).drop("sure").distinct()
+    open_ = pairs.where(~F.col("sure")).drop("sure")
     at = (F.col("o.snippet_id") == F.col("t.snippet_id")) & F.col("o.guideline_id").eqNullSafe(F.col("t.guideline_id"))
     checked = open_.alias("o").join(texts.alias("t"), at).where(term_found(F.col("text"), F.col("term")))
     return pairs.where("sure").select("snippet_id", "kind", "term").unionByName(checked.select("o.snippet_id", "kind", "term")).distinct()
