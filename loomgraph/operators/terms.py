@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from loomgraph.functions.text import WORD, is_word, term_found
 from loomgraph.session import cut
 
-#: Each term is repeated for this many parts of the texts, so that a word of a third of all texts is no single task.
-SALTS = 8
+#: Each term for all guidelines, or for one with at least 1/HEAVY_SHARE of all texts, is repeated for this many parts of
+#: the texts, so that a word of a third of all texts is no single task.
+SALTS, HEAVY_SHARE = 8, 64
 _OTHER = r"[^\p{L}\p{N}_]"
 #: Parts by which terms are looked up that are no words, best first: where two words meet, with five or two signs of
 #: either; the first signs of a word with the sign before it, and the last with the sign after it.
@@ -26,12 +27,12 @@ BUCKETS = 2**17
 def _anchored(terms: DataFrame) -> DataFrame:
     """Terms with ``family`` and ``anchor``: the part by which a text is looked up, and where such parts come from.
 
-    ``word``: the first token of a term that is matched as a whole word; one of ``SHAPES``: its first place in another
+    ``word``: a term that is one token and matched as a whole word; one of ``SHAPES``: its first place in another
     term; ``1`` to ``3``: the first signs of a term without these, which may begin inside a word.
     """
     low = F.lower("term")
     token = F.regexp_extract(low, f"{WORD}+", 0)
-    whole = is_word(F.col("term")) & (token != "")
+    whole = is_word(F.col("term")) & (token == low)
     family, anchor = F.when(whole, "word"), F.when(whole, token)
     for name, pattern in SHAPES.items():
         part = F.regexp_extract(low, pattern, 0)
@@ -47,6 +48,14 @@ def _parts(text: Column, family: str) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(1)))
 
 
+def _heavy(texts: DataFrame) -> list[str]:
+    """Guidelines with at least 1/HEAVY_SHARE of the texts."""
+    sizes = texts.groupBy("guideline_id").agg(F.count(F.lit(1)).alias("n"))
+    total = F.broadcast(sizes.agg(F.sum("n").alias("total")))
+    found = sizes.crossJoin(total).where(F.col("guideline_id").isNotNull() & (F.col("n") * HEAVY_SHARE >= F.col("total")))
+    return [r.guideline_id for r in found.collect()]
+
+
 def match_terms(texts: DataFrame, terms: DataFrame) -> DataFrame:
     """(snippet_id, kind, term) of every term in every text, once each.
 
@@ -62,27 +71,32 @@ def match_terms(texts: DataFrame, terms: DataFrame) -> DataFrame:
     texts = texts.select("snippet_id", "guideline_id", "text").where((F.col("text") != "") & F.col("snippet_id").isNotNull())
     terms = terms.select(F.col("guideline_id").alias("scope"), "kind", "term").where(F.col("term") != "").distinct()
     bucket = F.pmod(F.xxhash64("anchor"), F.lit(BUCKETS)).alias("bucket")
-    place = F.when(F.col("scope").isNull(), "").otherwise(F.concat(F.lit("="), "scope")).alias("place")
-    anchored = cut(_anchored(terms).select("family", "anchor", "kind", "term", place, bucket))
+    anchored = cut(_anchored(terms).withColumn("bucket", bucket))
     present = anchored.groupBy("family").agg(F.countDistinct("anchor").alias("n")).collect()  # eight rows at most
 
+    large = _heavy(texts)  # HEAVY_SHARE at most
+    heavy = lambda c: F.coalesce(F.col(c).isin(large), F.lit(False))
     schema = "snippet_id string, guideline_id string, kind string, term string, sure boolean"
     pairs = texts.sparkSession.createDataFrame([], schema)
     for family, n in sorted(present):
         own = anchored.where(F.col("family") == family)
-        marks = own.groupBy("bucket").agg(F.max(F.col("place") == "").alias("everywhere"), F.max(F.col("place") != "").alias("scoped"))
+        marks = own.groupBy("bucket").agg(F.max(F.col("scope").isNull()).alias("for_all"), F.max(F.col("scope").isNotNull()).alias("for_one"))
         if family != "word" and n <= FEW:
             each = [F.when(F.col("low").contains(r.anchor), r.anchor) for r in own.select("anchor").distinct().collect()]
             parts = texts.select("snippet_id", "guideline_id", F.lower("text").alias("low")).select("snippet_id", "guideline_id", F.explode(F.array(*each)).alias("anchor")).where(F.col("anchor").isNotNull())
         else:
             parts = texts.select("snippet_id", "guideline_id", F.explode(_parts(F.col("text"), family)).alias("anchor"))
         parts = parts.withColumn("bucket", bucket).join(F.broadcast(marks), "bucket")
-        places = F.array(F.when(F.col("everywhere"), ""), F.when(F.col("scoped"), F.concat(F.lit("="), "guideline_id")))
-        salt = F.pmod(F.xxhash64("snippet_id"), F.lit(SALTS)).cast("int").alias("salt")
-        parts = parts.select("snippet_id", "guideline_id", "anchor", salt, F.explode(places).alias("place")).where(F.col("place").isNotNull())
-        salted = own.select("anchor", "kind", "term", "place", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-        sure = (F.lit(family == "word") & (F.lower("term") == F.col("anchor"))).alias("sure")
-        pairs = pairs.unionByName(parts.join(salted, ["place", "anchor", "salt"]).select("snippet_id", "guideline_id", "kind", "term", sure))
+        uses = F.explode(F.array(F.when(F.col("for_all"), True), F.when(F.col("for_one") & F.col("guideline_id").isNotNull(), False))).alias("everywhere")
+        parts = parts.select("snippet_id", "guideline_id", "anchor", uses).where(F.col("everywhere").isNotNull())
+        salt = F.pmod(F.xxhash64("snippet_id"), F.lit(SALTS)).cast("int")
+        parts = parts.withColumn("salt", F.when(F.col("everywhere") | heavy("guideline_id"), salt).otherwise(0))
+        salts = F.when(F.col("scope").isNull() | heavy("scope"), F.lit(SALTS)).otherwise(1)
+        salted = own.select("scope", "anchor", "kind", "term", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+        here = (F.col("everywhere") == F.col("scope").isNull()) & (F.when(F.col("everywhere"), "").otherwise(F.col("guideline_id")) == F.coalesce("scope", F.lit("")))
+        same = (F.col("p.anchor") == F.col("t.anchor")) & (F.col("p.salt") == F.col("t.salt"))
+        sure = F.lit(family == "word").alias("sure")
+        pairs = pairs.unionByName(parts.alias("p").join(salted.alias("t"), same & here).select("snippet_id", "guideline_id", "kind", "term", sure))
     pairs = cut(pairs)
     open_ = pairs.where(~F.col("sure")).drop("sure")
     at = (F.col("o.snippet_id") == F.col("t.snippet_id")) & F.col("o.guideline_id").eqNullSafe(F.col("t.guideline_id"))

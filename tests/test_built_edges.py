@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loomgraph.functions.text import term_found
 from loomgraph.operators import extract
-from loomgraph.operators.terms import match_terms
+from loomgraph.operators.terms import _anchored, match_terms
 
 SNIPPETS = "row_id bigint, snippet_id string, guideline_id string, seq bigint, text string, snippet_type string, section_path array<string>, page string, json_pointer string, content_index int, raw_fields map<string,string>"
 MENTIONS = "row_id bigint, guideline_id string, gene_symbol string, associated_conditions array<string>, occurrences bigint, context string, content_index int"
@@ -71,3 +71,12 @@ def test_terms_beside_every_text(spark):
     want = texts.alias("s").join(terms.alias("t"), near & term_found(F.col("text"), F.col("term"))).select("snippet_id", "kind", "term").distinct()
     got = match_terms(texts, terms)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and want.count() > 400
+
+
+def test_terms_are_looked_up_by_what_few_texts_hold(spark):
+    terms = spark.createDataFrame([(None, "k", t) for t in ("venous", "venous-spasm", "septal dilation", "HT GGUP2", " ALSI", "FWH2.", "-", "高血圧")], "scope string, kind string, term string")
+    got = {r.term: (r.family, r.anchor) for r in _anchored(terms).collect()}
+    assert got == {
+        "venous": ("word", "venous"), "venous-spasm": ("long", "enous-spasm"), "septal dilation": ("long", "eptal dilat"), "HT GGUP2": ("seam", "ht gg"),
+        " ALSI": ("head", " als"), "FWH2.": ("tail", "wh2."), "-": ("1", "-"), "高血圧": ("3", "高血圧"),
+    }
